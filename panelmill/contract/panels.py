@@ -25,18 +25,30 @@ def ticker(key: str):
     return F.concat(F.lit("T"), F.lpad(F.col(key).cast("string"), 10, "0"))
 
 
+def _sale_position():
+    """Order, line and price as one number that sorts like the three of them.
+
+    Lines are one digit and prices below 10^10. Unlike a struct, a decimal can
+    be updated in place, so the aggregate hashes instead of sorting its input.
+    """
+    line = F.col("l_orderkey").cast("decimal(20,0)") * F.lit(10).cast("decimal(2,0)") + F.col(
+        "l_linenumber").cast("decimal(2,0)")
+    return line * F.lit(10**10).cast("decimal(11,0)") + F.col("l_extendedprice").cast(
+        "decimal(12,2)")
+
+
 def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One bar per supplier and ship date; the first and last sale by order,
     line and price give open and close."""
-    sale = F.struct("l_orderkey", "l_linenumber", "l_extendedprice")
     days = (
         table(spark, sf_dir, "lineitem")
+        .withColumn("sale", _sale_position())
         .groupBy("l_suppkey", F.to_date("l_shipdate").alias("date"))
         .agg(
-            F.min(sale)["l_extendedprice"].alias("open"),
+            F.min_by("l_extendedprice", "sale").alias("open"),
             F.max("l_extendedprice").alias("high"),
             F.min("l_extendedprice").alias("low"),
-            F.max(sale)["l_extendedprice"].alias("close"),
+            F.max_by("l_extendedprice", "sale").alias("close"),
             F.sum("l_quantity").cast("bigint").alias("volume"),
         )
     )

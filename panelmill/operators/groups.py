@@ -1,14 +1,12 @@
 """Ranks and totals inside a group, for groups of any size.
 
 A (group, date) holds every entity of that group, which may be a large part of
-the table. Groups up to ``hot_rows`` rows are ranked by plain windows that
-share one exchange. Larger ones are split by value: the rows of such a group
-are put into ordered slots between cut values, every slot is ranked on its own
-task, and the number of rows in the slots above is added. The result is exact
-for any choice of cuts; the cuts only decide how evenly the work is spread.
-
-While no group is hot the list of hot groups is an empty broadcast and
-adaptive execution drops the split branch before it runs.
+the table. The group sizes are counted first, a column-pruned aggregate with
+map-side combine. Groups up to ``hot_rows`` rows are ranked by plain windows
+that share one exchange. Larger ones are split by value: the rows of such a
+group are put into ordered slots between cut values, every slot is ranked on
+its own task, and the number of rows in the slots above is added. The result
+is exact for any choice of cuts; they only decide how evenly work is spread.
 """
 
 from __future__ import annotations
@@ -19,6 +17,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelmill.durable import materialize
+
 HOT_GROUP_ROWS = 10_000_000
 CUTS = 4096
 _BLOCK = 64
@@ -45,25 +45,31 @@ def with_group_standing(
     no nulls: rows with a null key are ranked, but their group is not split.
     """
     totals = totals or {}
-    sizes = (df if sized_by is None else sized_by).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows")
-    )
-    # Bounded: at most (rows of the table / hot_rows) groups can be hot.
-    hot = F.broadcast(
-        sizes.where(F.col("_rows") > hot_rows).select(
-            *[F.col(k).alias(f"_hot_{k}") for k in keys],
-            F.ceil(F.col("_rows") / hot_rows).cast("bigint").alias("_parts"),
-            "_rows",
-        )
-    )
+    hot = hot_groups(df if sized_by is None else sized_by, keys, hot_rows)
+    if hot is None:
+        return _by_window(df, keys, ranks, totals)
+    # Bounded: at most (rows of the table / hot_rows) groups are hot.
+    hot = F.broadcast(hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_rows", "_parts"))
     is_hot = _same(keys, "_hot_")
     cold = df.join(hot, is_hot, "left_anti")
-    big = df.join(hot, is_hot, "inner").drop(*[f"_hot_{k}" for k in keys])
+    big = materialize(df.join(hot, is_hot).drop(*[f"_hot_{k}" for k in keys]))
     return _by_window(cold, keys, ranks, totals).unionByName(
         _by_slot(big, keys, identity, ranks, totals, cuts)
     )
 
 
+def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
+    """Keys, rows and parts of the groups above ``hot_rows``; None if there are none.
+
+    Runs one small job: the answer decides the shape of the plan.
+    """
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = sizes.where(F.col("_rows") > hot_rows).withColumn(
+        "_parts", F.ceil(F.col("_rows") / hot_rows).cast("bigint")
+    )
+    return None if hot.isEmpty() else hot
+
+
 def _same(keys: Sequence[str], prefix: str) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k) == F.col(f"{prefix}{k}") for k in keys])
 

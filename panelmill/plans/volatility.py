@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from panelmill.functions import change, classify, ratio, snap_round
 from panelmill.operators.groups import HOT_GROUP_ROWS, with_group_standing
-from panelmill.operators.series import with_previous, with_rolling
+from panelmill.operators.series import with_previous, with_stitched_frames
 from panelmill.plans.rankings import daily_returns
 from panelmill.schemas import BARS, PanelSpec
 
@@ -23,21 +23,16 @@ def volatility_analysis(bars: DataFrame, spec: PanelSpec = BARS) -> DataFrame:
     close is not part of any maximum. Sharpe ratio and class use the rounded
     figures.
     """
-    frames = with_rolling(
+    frames = with_stitched_frames(
         daily_returns(bars, spec).where(F.col("prev_close").isNotNull()),
-        {
-            "_sd20": ("stddev", "daily_return", 20),
-            "_sd60": ("stddev", "daily_return", 60),
-            "_mean60": ("avg", "daily_return", 60),
-            "_peak60": ("max", spec.close, 60),
-        },
-        spec,
-    )
+        "daily_return", spec.close, 20, 60, spec,
+    ).where(F.col("_count60") > 1)  # one return has no deviation
+    scale = math.sqrt(TRADING_DAYS)
     figures = frames.withColumns({
-        "volatility_20d": snap_round(F.col("_sd20") * math.sqrt(TRADING_DAYS) * 100, 2),
-        "volatility_60d": snap_round(F.col("_sd60") * math.sqrt(TRADING_DAYS) * 100, 2),
+        "volatility_20d": snap_round(F.col("_sd20") * scale * 100, 2),
+        "volatility_60d": snap_round(F.col("_sd60") * scale * 100, 2),
         "annualized_return_60d": snap_round(F.col("_mean60") * TRADING_DAYS * 100, 2),
-    }).where(F.col("volatility_60d").isNotNull())
+    })
     peak, close = F.col("_peak60"), F.col(spec.close)
     return figures.select(
         *spec.identity, "volatility_20d", "volatility_60d", "annualized_return_60d",
@@ -61,17 +56,18 @@ def volatility_full(
     rows = bars.where(close.isNotNull())
     slim = rows.select(*dict.fromkeys(
         [*spec.series_keys, *spec.identity, spec.close, "year", "month"]))
-    frames = with_rolling(
-        with_previous(slim, "_prev", spec.close, spec)
-        .withColumn("daily_return", change(close, F.col("_prev"))),
-        {
-            "volatility_20d": ("stddev", "daily_return", 20),
-            "volatility_60d": ("stddev", "daily_return", 60),
-            "avg_return_20d": ("avg", "daily_return", 20),
-            "_peak20": ("max", spec.close, 20),
-        },
-        spec,
-    ).where(F.col("volatility_20d").isNotNull()).drop("_prev")
+    frames = (
+        with_stitched_frames(
+            with_previous(slim, "_prev", spec.close, spec)
+            .withColumn("daily_return", change(close, F.col("_prev"))),
+            "daily_return", spec.close, 20, 60, spec,
+        )
+        .where(F.col("_sd20").isNotNull())
+        .withColumnsRenamed({
+            "_sd20": "volatility_20d", "_sd60": "volatility_60d", "_mean20": "avg_return_20d",
+        })
+        .drop("_prev", "_count60", "_mean60", "_peak60")
+    )
     # Ranked at ten decimals: equal series must tie whatever their last bits.
     standing = with_group_standing(
         frames.withColumn("_risk", snap_round(F.col("volatility_20d"), 10)),
