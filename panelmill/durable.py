@@ -29,3 +29,20 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder once and go on from there."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def file_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, on any file system Spark can reach."""
+    system, target = _file_system(spark, path)
+    return system.exists(target)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder this package wrote itself."""
+    system, target = _file_system(spark, path)
+    system.delete(target, True)
