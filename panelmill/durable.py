@@ -42,7 +42,27 @@ def file_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(target)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files below a folder."""
+    system, target = _file_system(spark, path)
+    return system.getContentSummary(target).getLength()
+
+
+def leave_mark(spark: SparkSession, path: str) -> None:
+    """Create an empty file, to be found by a later run."""
+    system, target = _file_system(spark, path)
+    system.create(target, True).close()
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below a folder, sorted."""
+    system, target = _file_system(spark, path)
+    if not system.exists(target):
+        return []
+    return sorted(s.getPath().getName() for s in system.listStatus(target) if s.isDirectory())
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder this package wrote itself."""
+    """Delete a file or folder that this package wrote itself."""
     system, target = _file_system(spark, path)
     system.delete(target, True)

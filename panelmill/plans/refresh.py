@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from panelmill.plans.registry import CURATED, DEFAULT_VIEWS
+from panelmill.durable import drop_folder
+from panelmill.plans.registry import CURATED, DEFAULT_VIEWS, sort_columns
 from panelmill.schemas import BARS, PanelSpec
-from panelmill.sinks.tables import publish, write_bucketed
+from panelmill.sinks.tables import bucket_count, publish, write_bucketed
 from panelmill.sources.processed import read_bars
 
 REPORT = T.StructType([
@@ -32,19 +34,29 @@ def refresh_all(
 
     A view that fails is reported and does not stop the others. ``bars`` is a
     frame, or the path of stored bars: these are then made unique and bucketed
-    by entity once, for all views.
+    by entity once, for all views, in a table that lasts as long as the refresh.
     """
+    scratch = None
     source = bars
     if isinstance(bars, str):
-        source = write_bucketed(read_bars(spark, bars), "bars_by_entity", root, spec=spec)
-    builders = builders or {}
-    report = []
-    for name in names:
-        try:
-            build = builders.get(name) or CURATED[name].build
-            by_month = name in CURATED and CURATED[name].by_month
-            path = publish(build(source, spec), name, root, by_month)
-            report.append((name, "SUCCEEDED", path, None))
-        except Exception as error:  # noqa: BLE001  one broken view must not stop the rest
-            report.append((name, "FAILED", None, str(error)))
-    return spark.createDataFrame(report, REPORT)
+        scratch = f"bars_by_entity_{uuid.uuid4().hex[:8]}"
+        source = write_bucketed(
+            read_bars(spark, bars), scratch, root, bucket_count(spark, bars), spec)
+    try:
+        outcomes = [_rebuild(source, name, root, spec, builders or {}) for name in names]
+    finally:
+        if scratch:
+            spark.sql(f"DROP TABLE IF EXISTS {scratch}")
+            drop_folder(spark, f"{root.rstrip('/')}/{scratch}")
+    return spark.createDataFrame(outcomes, REPORT)
+
+
+def _rebuild(source, name, root, spec, builders) -> tuple[str, str, str | None, str | None]:
+    try:
+        build = builders.get(name) or CURATED[name].build
+        by_month = name in CURATED and CURATED[name].by_month
+        order = sort_columns(name, spec) if name in CURATED else ()
+        path = publish(build(source, spec), name, root, by_month, order)
+        return name, "SUCCEEDED", path, None
+    except Exception as error:  # noqa: BLE001  one broken view must not stop the rest
+        return name, "FAILED", None, str(error)

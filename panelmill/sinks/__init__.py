@@ -2,10 +2,10 @@ from panelmill.sinks.files import (
     write_curated, write_processed, write_raw, replace_bars,
 )
 from panelmill.sinks.tables import (
-    publish, register_partitioned, upsert_master, write_bucketed,
+    bucket_count, create_row_views, publish, register_partitioned, upsert_master, write_bucketed,
 )
 
 __all__ = [
-    "publish", "register_partitioned", "replace_bars", "upsert_master", "write_bucketed",
+    "bucket_count", "create_row_views", "publish", "register_partitioned", "replace_bars", "upsert_master", "write_bucketed",
     "write_curated", "write_processed", "write_raw",
 ]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from panelmill.durable import drop_folder, file_exists
@@ -125,16 +125,23 @@ def _write_partitions(
 
 
 def write_curated(
-    view: DataFrame, path: str, by_month: bool = False, if_missing: bool = False
+    view: DataFrame,
+    path: str,
+    by_month: bool = False,
+    if_missing: bool = False,
+    order: Sequence[Column] = (),
 ) -> None:
     """A curated table as snappy Parquet; replaces it unless ``if_missing``.
 
-    ``by_month`` stores it in (year, month) folders.
+    ``by_month`` stores it in (year, month) folders. ``order`` sorts inside the
+    files only, which costs no exchange and lets readers skip row groups.
     """
-    writer = (
-        (_balanced(view, ["year", "month"]) if by_month else view)
-        .write.mode("ignore" if if_missing else "overwrite").option("compression", "snappy")
-    )
+    if by_month:
+        view = view.hint("rebalance", F.col("year"), F.col("month"))
+        view = view.sortWithinPartitions("year", "month", *order)
+    elif order:
+        view = view.sortWithinPartitions(*order)
+    writer = view.write.mode("ignore" if if_missing else "overwrite")
     if by_month:
         writer = writer.partitionBy("year", "month")
-    writer.parquet(path)
+    writer.option("compression", "snappy").parquet(path)

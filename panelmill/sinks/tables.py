@@ -4,24 +4,33 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from panelmill.durable import drop_folder, folder_bytes, subfolders
 from panelmill.operators.rows import upsert_by_key
+from panelmill.plans import lookups
 from panelmill.schemas import BARS, PROCESSED_BARS, PanelSpec
 from panelmill.sinks.files import LAYOUTS, write_curated
 
 
+BUCKET_BYTES = 512 * 1024 * 1024
+
+
 def _quoted(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
 
 
-def register_partitioned(spark: SparkSession, name: str, path: str, layout: str = "full") -> None:
+def register_partitioned(
+    spark: SparkSession, name: str, path: str, layout: str = "full", evolve: bool = False
+) -> list[str]:
     """Declare stored bars as a table and pick up its partitions.
 
     Safe to repeat: later calls add new partitions and drop vanished ones. The
-    schema is stated, so padded months stay text; columns that older files
-    lack read as null.
+    schema is stated, so padded months stay text. ``evolve`` also looks into
+    the files for columns the table lacks and adds them; files without such a
+    column read as null. Returns the added columns.
     """
     keys = LAYOUTS[layout]
     data = [f for f in PROCESSED_BARS if f.name not in keys]
@@ -31,21 +40,68 @@ def register_partitioned(spark: SparkSession, name: str, path: str, layout: str
         f"CREATE TABLE IF NOT EXISTS {_quoted(name)} ({columns}) USING parquet "
         f"PARTITIONED BY ({', '.join(keys)}) LOCATION '{path}'"
     )
+    added = []
+    if evolve:
+        known = set(spark.table(name).columns)
+        found = spark.read.option("mergeSchema", True).parquet(path).schema
+        added = [f for f in found if f.name not in known]
+        if added:
+            news = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+            spark.sql(f"ALTER TABLE {_quoted(name)} ADD COLUMNS ({news})")
     spark.sql(f"MSCK REPAIR TABLE {_quoted(name)} SYNC PARTITIONS")
-
-
-def publish(view: DataFrame, name: str, root: str, by_month: bool = False) -> str:
+    return [f.name for f in added]
+
+
+def create_row_views(
+    spark: SparkSession, table: str, since_year: int, sector: str
+) -> tuple[str, str]:
+    """Create or replace the two row views over a registered table of bars."""
+    enriched, chosen = "stock_data_enriched", f"{sector.lower()}_sector_stocks"
+    for view, frame in (
+        (enriched, lookups.enriched_view(spark.table(table), since_year)),
+        (chosen, lookups.sector_view(spark.table(table), sector, since_year)),
+    ):
+        rows = f"year >= {int(since_year)}"
+        if view == chosen:
+            literal = sector.replace("'", "\\'")
+            rows += f" AND sector = '{literal}'"
+        columns = ", ".join(frame.columns)
+        spark.sql(
+            f"CREATE OR REPLACE VIEW {_quoted(view)} AS "
+            f"SELECT {columns} FROM {_quoted(table)} WHERE {rows}"
+        )
+    return enriched, chosen
+
+
+def _new_version(root: str, name: str) -> str:
+    """A folder name that sorts by time and is used by no other run."""
+    now = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    return f"{root.rstrip('/')}/{name}/v{now}-{uuid.uuid4().hex[:8]}"
+
+
+def publish(
+    view: DataFrame,
+    name: str,
+    root: str,
+    by_month: bool = False,
+    order: Sequence[Column] = (),
+    keep: int = 2,
+) -> str:
     """Build a curated table in a new folder, then point the table at it.
 
     Readers see the old rows until the new ones are complete, and a failed
-    build leaves the table as it was. Returns the new folder; old folders stay
-    for readers still using them. A table in (year, month) folders is declared
-    anew, since its partitions carry their own locations.
+    build leaves the table as it was. Returns the new folder. The last ``keep``
+    versions stay, for readers still using the previous one. A table in (year,
+    month) folders is declared anew, since its partitions carry their own
+    locations.
     """
     spark = view.sparkSession
-    path = f"{root.rstrip('/')}/{name}/{uuid.uuid4().hex}"
-    write_curated(view, path, by_month)
+    path = _new_version(root, name)
+    write_curated(view, path, by_month, order=order)
     point_table(spark, name, path, ["year", "month"] if by_month else [])
+    home = f"{root.rstrip('/')}/{name}"
+    for old in [v for v in subfolders(spark, home) if v.startswith("v")][:-keep]:
+        drop_folder(spark, f"{home}/{old}")
     return path
 
 
@@ -74,7 +130,8 @@ def write_bucketed(
 
     Every view along a series then reads them without an exchange, so one
     shuffle here serves all of them. A bucket holds whole series, and a series
-    is bounded by its days. The default is one bucket per shuffle partition.
+    is bounded by its days. The default is one bucket per shuffle partition;
+    see ``bucket_count`` for stored bars.
     """
     spark = bars.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -83,12 +140,20 @@ def write_bucketed(
         .write.mode("overwrite").bucketBy(buckets, spec.entity)
         .sortBy(spec.entity, spec.date)
         .option("compression", "snappy")
-        .option("path", f"{root.rstrip('/')}/{name}/{uuid.uuid4().hex}")
+        .option("path", _new_version(root, name))
         .saveAsTable(name)
     )
     return spark.table(name)
 
 
+def bucket_count(spark: SparkSession, path: str, target: int = BUCKET_BYTES) -> int:
+    """Buckets of about ``target`` bytes for the bars stored at ``path``."""
+    wanted = folder_bytes(spark, path) // target + 1
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    return min(max(wanted, least), most)
+
+
 def upsert_master(
     spark: SparkSession, name: str, root: str, new: DataFrame, now: Column, key: str = "ticker"
 ) -> str:

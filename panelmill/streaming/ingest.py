@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from panelmill.durable import drop_folder, file_exists, leave_mark
 from panelmill.operators import enrich
 from panelmill.plans.refresh import refresh_all
 from panelmill.plans.registry import DEFAULT_VIEWS
@@ -29,17 +30,18 @@ def run_stream(
 
     The checkpoint remembers the files, and each micro-batch replaces the bars
     it brings: a batch that is repeated after a failure stores the same rows.
-    The views are rebuilt once at the end of the run if it brought any file,
-    and their reports returned. The master is read anew for every batch.
+    The views are rebuilt once at the end of a run that brought any file, and
+    their reports returned; if that fails, the next run makes up for it. The
+    master is read anew for every batch.
     """
-    batches = []
+    pending = f"{checkpoint.rstrip('/')}/refresh_pending"
 
     def store(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         bars = enrich(batch, read_master(session, master), source_path=SOURCE_PATH)
         staging = f"{checkpoint.rstrip('/')}/staging/{batch_id}"
+        leave_mark(session, pending)
         write_processed(bars, processed, layout, "replace", staging)
-        batches.append(batch_id)
 
     query = (
         stream_raw(spark, raw, max_files)
@@ -49,6 +51,9 @@ def run_stream(
         .start()
     )
     query.awaitTermination()
-    if not batches or curated is None:
+    if curated is None or not file_exists(spark, pending):
         return []
-    return [refresh_all(spark, processed, curated, views)]
+    report = refresh_all(spark, processed, curated, views)
+    if report.where("status <> 'SUCCEEDED'").isEmpty():
+        drop_folder(spark, pending)
+    return [report]

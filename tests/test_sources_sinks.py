@@ -11,7 +11,7 @@ from panelmill.operators import enrich
 from panelmill.schemas import PROCESSED_BARS
 from panelmill.sinks import files
 from panelmill.sinks import (
-    publish, register_partitioned, upsert_master, write_bucketed, write_curated,
+    bucket_count, create_row_views, publish, register_partitioned, upsert_master, write_bucketed, write_curated,
     write_processed, write_raw,
 )
 from panelmill.sources import (
@@ -311,3 +311,67 @@ def test_master_upsert_twice(spark, tmp_path):
     assert got == [
         ("AAA", "A", "Tech", True, jan, jan), ("BBB", "B2", "Media", True, jan, jun),
         ("CCC", "C", "Tech", True, jun, jun)]
+
+
+def test_table_takes_up_new_columns(spark, bars, tmp_path):
+    path = str(tmp_path / "bars")
+    write_processed(bars, path)
+    assert register_partitioned(spark, "evolving", path, evolve=True) == []
+    (bars.where("ticker = 'AAA'").withColumns({"adjusted": F.lit(1.25), "ticker": F.lit("NEW")})
+     .write.mode("append").partitionBy("sector", "ticker", "year", "month", "day").parquet(path))
+    assert register_partitioned(spark, "evolving", path, evolve=True) == ["adjusted"]
+    assert rows(spark.table("evolving"), "ticker", "adjusted") == [
+        ("AAA", None), ("BBB", None), ("CCC", None), ("NEW", 1.25)]
+
+
+def test_row_views_prune_and_replace(spark, bars, tmp_path):
+    path = str(tmp_path / "bars")
+    write_processed(bars, path)
+    register_partitioned(spark, "stock_data", path)
+    create_row_views(spark, "stock_data", 2030, "Tech")
+    enriched, chosen = create_row_views(spark, "stock_data", 2024, "Tech")
+    assert rows(spark.table(enriched), "ticker") == [("AAA",), ("BBB",)]
+    assert "source_file" in spark.table(enriched).columns
+    one = spark.sql(f"SELECT * FROM {chosen} WHERE ticker = 'BBB'")
+    assert rows(one, "ticker", "month", "exchange") == [("BBB", "02", "Y")]
+    assert one.columns[:2] == ["sector", "ticker"]
+
+
+def test_bucket_count_follows_the_stored_size(spark, bars, tmp_path):
+    path = str(tmp_path / "bars")
+    write_processed(bars, path)
+    assert bucket_count(spark, path) == 8
+    assert bucket_count(spark, path, target=200) > 8
+
+
+def test_hot_ticker_is_split_when_the_master_is_large(spark, tmp_path, master):
+    """Without a broadcast, the join splits a ticker with most of the raw rows."""
+    raw = spark.range(60_000).select(
+        F.when(F.col("id") % 10 < 9, "AAA").otherwise(
+            F.concat(F.lit("T"), F.col("id").cast("string"))).alias("ticker"),
+        F.date_add(F.lit("2000-01-01").cast("date"), (F.col("id") % 9000).cast("int"))
+        .alias("date"),
+        *[F.rand(1).alias(c) for c in ("open", "high", "low", "close")],
+        F.col("id").alias("volume"),
+    ).repartition(8)
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        joined = enrich(raw, master)
+        done = joined.groupBy("date").agg(F.count("sector").alias("n"), F.sum("close"))
+        assert sum(r["n"] for r in done.collect()) == 60_000
+        assert "SortMergeJoin(skew=true)" in done._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+
+
+def test_preview(spark, bars):
+    assert len(bars.limit(2).collect()) == 2

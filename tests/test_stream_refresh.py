@@ -101,6 +101,24 @@ def test_run_refreshes_views_once(spark, tmp_path):
     assert lake.run(curated=str(tmp_path / "curated"), views=views) == []
 
 
+def test_failed_refresh_is_made_up_for(spark, tmp_path, monkeypatch):
+    from panelmill.streaming import ingest
+
+    lake = Lake(spark, tmp_path, "compact")
+    lake.land("a", "a.csv", bar("AAA", "2024-01-02", 10))
+    wanted = dict(curated=str(tmp_path / "curated"), views=["sector_daily_summary"])
+
+    def lost(*args, **kwargs):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, "refresh_all", lost)
+        with pytest.raises(RuntimeError):
+            lake.run(**wanted)
+    assert [r.first()["status"] for r in lake.run(**wanted)] == ["SUCCEEDED"]
+    assert lake.run(**wanted) == []
+
+
 def test_refresh_equals_direct_views(spark, small, tmp_path):
     bars = panels.bars(spark, small)
     write_processed(bars, str(tmp_path / "bars"), "compact", "replace", str(tmp_path / "s"))
@@ -113,6 +131,12 @@ def test_refresh_equals_direct_views(spark, small, tmp_path):
         assert stored.count() == direct.count()
         assert stored.select(*direct.columns).exceptAll(direct).isEmpty(), name
     assert dict(spark.table("volatility_full").dtypes)["month"] == "string"
+    # The shared copy of the bars is gone, and so are all but two old versions.
+    assert {p.name for p in (tmp_path / "out").iterdir()} == {*DEFAULT_VIEWS, "volatility_full"}
+    for _ in range(3):
+        refresh_all(spark, bars, str(tmp_path / "out"), ["sector_daily_summary"])
+    assert len(list((tmp_path / "out" / "sector_daily_summary").iterdir())) == 2
+    assert spark.table("sector_daily_summary").count() == build("sector_daily_summary", bars).count()
 
 
 def test_one_failing_view_does_not_stop_the_rest(spark, small, tmp_path):
