@@ -20,8 +20,11 @@ from pyspark.sql import functions as F
 from panelmill.durable import materialize
 
 HOT_GROUP_ROWS = 10_000_000
-CUTS = 4096
-_BLOCK = 64
+# Cut values per group: some for every part of it, so that even an unlucky slot
+# stays below the size of a part, up to a limit for the largest groups.
+CUTS_PER_PART = 16
+MAX_CUTS = 4096
+_BLOCK = 32
 
 
 def with_group_standing(
@@ -32,7 +35,7 @@ def with_group_standing(
     totals: dict[str, str] | None = None,
     sized_by: DataFrame | None = None,
     hot_rows: int = HOT_GROUP_ROWS,
-    cuts: int = CUTS,
+    max_cuts: int = MAX_CUTS,
 ) -> DataFrame:
     """Add ``rank() over (partition by keys order by column desc nulls last)``
     for every ``{out: column}`` of ``ranks``, and the group's sum for every one
@@ -54,7 +57,7 @@ def with_group_standing(
     cold = df.join(hot, is_hot, "left_anti")
     big = materialize(df.join(hot, is_hot).drop(*[f"_hot_{k}" for k in keys]))
     return _by_window(cold, keys, ranks, totals).unionByName(
-        _by_slot(big, keys, identity, ranks, totals, cuts)
+        _by_slot(big, keys, identity, ranks, totals, max_cuts)
     )
 
 
@@ -84,14 +87,19 @@ def _by_window(df, keys, ranks, totals) -> DataFrame:
     return df.withColumns(columns)
 
 
-def _by_slot(df, keys, identity, ranks, totals, cuts) -> DataFrame:
-    """The hot groups; ``df`` carries ``_rows`` and ``_parts`` of its group."""
+def _place(df, keys, identity, ranks, totals, max_cuts) -> DataFrame:
+    """Rows of hot groups with their totals, and per rank their slot and piece.
+
+    ``df`` carries ``_rows`` and ``_parts`` of each row's group. A piece is
+    what one task ranks: a slot, or a part of a slot whose rows all tie.
+    """
     columns = df.columns
     spread = F.xxhash64(*identity)
     df = df.withColumn("_part", F.pmod(spread, F.col("_parts")))
-    # About ``cuts`` values per group, chosen by a hash of the row's identity:
-    # the same rows on every attempt and in every branch of the plan.
-    chosen = F.pmod(F.xxhash64(F.lit("cut"), *identity), F.col("_rows")) < cuts
+    # Cut values are those of rows chosen by a hash of their identity: the same
+    # rows on every attempt and in every branch of the plan.
+    wanted = F.least(F.col("_parts") * CUTS_PER_PART, F.lit(max_cuts))
+    chosen = F.pmod(F.xxhash64(F.lit("cut"), *identity), F.col("_rows")) < wanted
     stats = df.groupBy(*keys).agg(
         F.max("_parts").alias("_n"),
         *[
@@ -122,10 +130,17 @@ def _by_slot(df, keys, identity, ranks, totals, cuts) -> DataFrame:
         for i in range(len(ranks))
     })
     kept = [c for c in columns if c not in ("_rows", "_parts")]
-    placed = placed.select(
+    return placed.select(
         *kept, *totals,
         *[f"{name}_{i}" for i in range(len(ranks)) for name in ("_slot", "_piece")],
     )
+
+
+def _by_slot(df, keys, identity, ranks, totals, max_cuts) -> DataFrame:
+    kept = [c for c in df.columns if c not in ("_rows", "_parts")]
+    placed = _place(df, keys, identity, ranks, totals, max_cuts)
+    if ranks:
+        placed = materialize(placed)
     out = placed
     for i, (name, col) in enumerate(ranks.items()):
         piece = [*keys, f"_slot_{i}", f"_piece_{i}"]
@@ -157,7 +172,7 @@ def _slot(col: str, i: int) -> Column:
 
     Twice the number of cuts below the value, plus one on a cut, negated; nulls
     come after everything. The cuts below are counted in two steps, first over
-    every 64th cut and then inside one block.
+    the first cut of every block and then inside one block.
     """
     cuts, heads, value = F.col(f"_cuts_{i}"), F.col(f"_heads_{i}"), F.col(col)
     start = F.greatest(F.size(F.filter(heads, lambda x: x < value)) - 1, F.lit(0)) * _BLOCK

@@ -14,13 +14,22 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelmill.schemas import BARS, PanelSpec
 
 _ROLLING = {"avg": F.avg, "stddev": F.stddev_samp, "max": F.max, "count": F.count}
 
 
-def series_window(spec: PanelSpec = BARS) -> WindowSpec:
+def series_window(df: DataFrame, spec: PanelSpec = BARS) -> WindowSpec:
+    """One series in the order of its days.
+
+    Finer times are refused: their number per series would have no bound.
+    Aggregate such data to days first.
+    """
+    kind = df.schema[spec.date].dataType
+    if not isinstance(kind, T.DateType):
+        raise TypeError(f"column {spec.date} must be a date, not {kind.simpleString()}")
     return Window.partitionBy(*spec.series_keys).orderBy(spec.date)
 
 
@@ -31,14 +40,14 @@ def rolling(fn: str, col: str, rows: int, window: WindowSpec) -> Column:
 
 def with_previous(df: DataFrame, out: str, col: str, spec: PanelSpec = BARS) -> DataFrame:
     """Value of the series' previous row, null on its first."""
-    return df.withColumn(out, F.lag(col).over(series_window(spec)))
+    return df.withColumn(out, F.lag(col).over(series_window(df, spec)))
 
 
 def with_rolling(
     df: DataFrame, columns: dict[str, tuple[str, str, int]], spec: PanelSpec = BARS
 ) -> DataFrame:
     """Add trailing statistics: ``{out: (fn, column, rows)}``."""
-    window = series_window(spec)
+    window = series_window(df, spec)
     return df.withColumns({
         out: rolling(fn, col, rows, window) for out, (fn, col, rows) in columns.items()
     })
@@ -60,7 +69,7 @@ def with_stitched_frames(
     """
     if long % short:
         raise ValueError("the long frame must be a multiple of the short one")
-    window = series_window(spec)
+    window = series_window(df, spec)
     sd, mean, peak = f"_sd{short}", f"_mean{short}", f"_peak{short}"
     parts = long // short
     df = with_rolling(df, {

@@ -43,7 +43,7 @@ def sector_performance_ranking(
     A series' first bar has no return: it is left out before ranks and shares,
     but counts in the moving average of the bars that follow.
     """
-    window = series_window(spec)
+    window = series_window(bars, spec)
     close, prev, ma20 = F.col(spec.close), F.col("prev_close"), F.col("_ma20")
     moves = (
         bars.select(*dict.fromkeys(
@@ -77,7 +77,7 @@ def sector_performance_full(
     bars: DataFrame, spec: PanelSpec = BARS, hot_rows: int = HOT_GROUP_ROWS
 ) -> DataFrame:
     """The unrounded ranking that keeps first bars, whose null return ranks last."""
-    window = series_window(spec)
+    window = series_window(bars, spec)
     prices = [spec.open, spec.close, spec.high, spec.low, spec.volume]
     rows = bars.where(F.col(spec.close).isNotNull() & F.col(spec.group).isNotNull())
     moves = (

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from panelmill.operators import groups
 from panelmill.operators.groups import with_group_standing
 
 
@@ -33,7 +34,7 @@ def expected(df):
 def test_split_ranks_are_exact(spark, hot_rows, cuts):
     df = skewed(spark)
     got = with_group_standing(
-        df, ["g"], ["id"], {"rv": "v", "rn": "n"}, {"total": "n"}, hot_rows=hot_rows, cuts=cuts
+        df, ["g"], ["id"], {"rv": "v", "rn": "n"}, {"total": "n"}, hot_rows=hot_rows, max_cuts=cuts
     )
     assert got.columns == ["id", "g", "v", "n", "rv", "rn", "total"]
     assert got.count() == 6000
@@ -49,15 +50,25 @@ def test_only_totals(spark):
 def test_null_group_is_ranked_too(spark):
     df = skewed(spark).withColumn("g", F.when(F.col("g") != "g1", F.col("g")))
     got = with_group_standing(df, ["g"], ["id"], {"rv": "v", "rn": "n"}, {"total": "n"},
-                              hot_rows=100, cuts=32)
+                              hot_rows=100, max_cuts=32)
     assert got.count() == 6000
     assert got.exceptAll(expected(df)).isEmpty()
 
 
-def test_hot_slot_never_holds_the_group(spark):
-    """No task of a split group gets more than a small share of its rows."""
-    df = spark.range(20000).withColumns({"g": F.lit("one"), "v": F.sin("id")})
-    ranked = with_group_standing(df, ["g"], ["id"], {"r": "v"}, hot_rows=1000, cuts=500)
-    plan = ranked._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(g" in plan and "_slot_0" in plan
-    assert ranked.agg(F.count_distinct("r")).first()[0] == df.agg(F.count_distinct("v")).first()[0]
+@pytest.mark.parametrize("value", [
+    "sin(id)",                              # all different
+    "if(id % 3 = 0, 0.0D, sin(id))",        # a third on one value
+    "if(id % 3 = 0, null, sin(id))",        # a third null
+    "cast(id % 4 as double)",               # four values
+    "exp(-id / 500.0)",                     # far apart and very close
+])
+def test_no_task_gets_a_large_share(spark, value):
+    n, hot_rows = 40_000, 2_000
+    df = spark.range(n).select("id", F.lit("one").alias("g"), F.expr(value).alias("v"))
+    sized = df.withColumns({
+        "_rows": F.lit(n).cast("bigint"), "_parts": F.lit(n // hot_rows).cast("bigint")})
+    placed = groups._place(sized, ["g"], ["id"], {"r": "v"}, {}, groups.MAX_CUTS)
+    pieces = placed.groupBy("_slot_0", "_piece_0").agg(
+        F.count("*").alias("n"), F.count_distinct("v").alias("values"))
+    assert pieces.agg(F.sum("n")).first()[0] == n
+    assert pieces.agg(F.max("n")).first()[0] <= hot_rows

@@ -1,5 +1,6 @@
 """Windows along a series."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from panelmill.operators import with_previous, with_rolling, with_stitched_frames
@@ -42,3 +43,9 @@ def test_one_exchange_for_lag_and_frames(spark):
     assert plan.count("Exchange hashpartitioning(ticker") == 1
     assert plan.count("Sort [ticker") == 1
     assert "SinglePartition" not in plan
+
+
+def test_finer_times_are_refused(spark):
+    df = series(spark).withColumn("date", F.col("date").cast("timestamp"))
+    with pytest.raises(TypeError, match="must be a date"):
+        with_previous(df, "p", "close")
