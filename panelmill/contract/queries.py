@@ -39,12 +39,18 @@ def snapped(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
     ])
 
 
+def _view(name: str, spark: SparkSession, sf: str) -> DataFrame:
+    """A curated view; every bar comes from at least one sale."""
+    sales = panels.table(spark, sf, "lineitem")
+    return plans.build(name, panels.bars(spark, sf), at_most=sales)
+
+
 def _curated(name: str) -> Query:
-    return lambda spark, sf: plans.build(name, panels.bars(spark, sf))
+    return lambda spark, sf: _view(name, spark, sf)
 
 
 def _curated_unrounded(name: str, **special: int) -> Query:
-    return lambda spark, sf: snapped(plans.build(name, panels.bars(spark, sf)), **special)
+    return lambda spark, sf: snapped(_view(name, spark, sf), **special)
 
 
 def bars_enriched(spark, sf):
@@ -150,7 +156,8 @@ def rolling_drawdown(spark, sf):
 def volume_share(spark, sf):
     bars = panels.bars(spark, sf).select("sector", "ticker", "date", "volume")
     shares = with_group_standing(
-        bars, ["sector", "date"], ["ticker"], ranks={}, totals={"sector_volume": "volume"}
+        bars, ["sector", "date"], ["ticker"], ranks={}, totals={"sector_volume": "volume"},
+        at_most=panels.table(spark, sf, "lineitem"),
     )
     return snapped(shares.withColumn(
         "share_pct", ratio(F.col("volume").cast("double") * 100, F.col("sector_volume"))
@@ -183,25 +190,27 @@ def named_sector_comparison(spark, sf):
 
 
 def latest_ranking(spark, sf):
-    return lookups.latest_day(plans.build("sector_performance_ranking", panels.bars(spark, sf)))
+    return lookups.latest_day(_view("sector_performance_ranking", spark, sf))
 
 
 def top_sectors(spark, sf):
-    return lookups.top_sectors(plans.build("cross_sector_comparison", panels.bars(spark, sf)))
+    return lookups.top_sectors(_view("cross_sector_comparison", spark, sf))
 
 
 def high_risk_latest(spark, sf):
-    view = plans.build("volatility_analysis", panels.bars(spark, sf))
+    view = _view("volatility_analysis", spark, sf)
     return lookups.highest_risk(view, "High Risk")
 
 
 def very_high_risk_latest(spark, sf):
-    view = snapped(plans.build("volatility_full", panels.bars(spark, sf)))
+    view = snapped(_view("volatility_full", spark, sf))
     return lookups.highest_risk(view, "Very High")
 
 
 def _activity(name: str) -> Query:
-    return lambda spark, sf: plans.build(name, panels.activity(spark, sf), panels.ACTIVITY)
+    return lambda spark, sf: plans.build(
+        name, panels.activity(spark, sf), panels.ACTIVITY,
+        at_most=panels.table(spark, sf, "events"))
 
 
 QUERIES: dict[str, Query] = {

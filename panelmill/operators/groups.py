@@ -34,6 +34,7 @@ def with_group_standing(
     ranks: dict[str, str],
     totals: dict[str, str] | None = None,
     sized_by: DataFrame | None = None,
+    at_most: DataFrame | None = None,
     hot_rows: int = HOT_GROUP_ROWS,
     max_cuts: int = MAX_CUTS,
 ) -> DataFrame:
@@ -43,12 +44,17 @@ def with_group_standing(
 
     ``identity`` names columns that tell the rows of a group apart.
     ``sized_by`` may be a cheaper table with at least the rows of ``df`` in
-    every group, to measure the groups on. Ranked columns must not depend on
+    every group, to measure the groups on. ``at_most`` may be a table with at
+    least the rows of ``df`` in all that is quick to count, such as stored
+    Parquet files, whose footers hold the count: while even all of its rows
+    are no more than ``hot_rows``, no group is measured. Ranked columns must not depend on
     the order of summation, since the split reads them twice. Keys should hold
     no nulls: rows with a null key are ranked, but their group is not split.
     """
     totals = totals or {}
-    hot = hot_groups(df if sized_by is None else sized_by, keys, hot_rows)
+    hot = None
+    if at_most is None or at_most.count() > hot_rows:
+        hot = hot_groups(df if sized_by is None else sized_by, keys, hot_rows)
     if hot is None:
         return _by_window(df, keys, ranks, totals)
     # Bounded: at most (rows of the table / hot_rows) groups are hot.

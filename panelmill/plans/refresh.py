@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from panelmill.durable import drop_folder
-from panelmill.plans.registry import CURATED, DEFAULT_VIEWS, sort_columns
+from panelmill.plans.registry import CURATED, DEFAULT_VIEWS, build, sort_columns
 from panelmill.schemas import BARS, PanelSpec
 from panelmill.sinks.tables import bucket_count, publish, write_bucketed
 from panelmill.sources.processed import read_bars
@@ -43,7 +43,7 @@ def refresh_all(
         source = write_bucketed(
             read_bars(spark, bars), scratch, root, bucket_count(spark, bars), spec)
     try:
-        outcomes = [_rebuild(source, name, root, spec, builders or {}) for name in names]
+        outcomes = [_rebuild(source, scratch is not None, name, root, spec, builders or {}) for name in names]
     finally:
         if scratch:
             spark.sql(f"DROP TABLE IF EXISTS {scratch}")
@@ -51,12 +51,15 @@ def refresh_all(
     return spark.createDataFrame(outcomes, REPORT)
 
 
-def _rebuild(source, name, root, spec, builders) -> tuple[str, str, str | None, str | None]:
+def _rebuild(source, stored, name, root, spec, builders) -> tuple:
     try:
-        build = builders.get(name) or CURATED[name].build
+        if name in builders:
+            view = builders[name](source, spec)
+        else:
+            view = build(name, source, spec, at_most=source if stored else None)
         by_month = name in CURATED and CURATED[name].by_month
         order = sort_columns(name, spec) if name in CURATED else ()
-        path = publish(build(source, spec), name, root, by_month, order)
+        path = publish(view, name, root, by_month, order)
         return name, "SUCCEEDED", path, None
     except Exception as error:  # noqa: BLE001  one broken view must not stop the rest
         return name, "FAILED", None, str(error)

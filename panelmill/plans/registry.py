@@ -16,12 +16,14 @@ from panelmill.schemas import BARS, PanelSpec
 class Curated:
     """``order`` lists column names, newest first with a leading minus.
 
-    ``by_month`` marks the views stored in (year, month) partitions.
+    ``by_month`` marks the views stored in (year, month) partitions, ``ranked``
+    those that rank inside groups.
     """
 
     build: Callable[..., DataFrame]
     order: tuple[str, ...]
     by_month: bool = False
+    ranked: bool = False
 
 
 CURATED: dict[str, Curated] = {
@@ -30,17 +32,18 @@ CURATED: dict[str, Curated] = {
     "ticker_monthly_summary": Curated(
         summaries.ticker_monthly_summary, ("ticker", "-month")),
     "sector_performance_ranking": Curated(
-        rankings.sector_performance_ranking, ("-date", "sector", "return_rank")),
+        rankings.sector_performance_ranking, ("-date", "sector", "return_rank"), ranked=True),
     "cross_sector_comparison": Curated(
         cross_group.cross_sector_comparison, ("-date", "performance_rank")),
     "volatility_analysis": Curated(
         volatility.volatility_analysis, ("-date", "ticker")),
     "sector_performance_full": Curated(
-        rankings.sector_performance_full, ("-date", "sector", "return_rank_in_sector"), True),
+        rankings.sector_performance_full, ("-date", "sector", "return_rank_in_sector"),
+        True, True),
     "cross_sector_full": Curated(
         cross_group.cross_sector_full, ("-date", "performance_rank"), True),
     "volatility_full": Curated(
-        volatility.volatility_full, ("-date", "-volatility_20d"), True),
+        volatility.volatility_full, ("-date", "-volatility_20d"), True, True),
     "daily_price_change": Curated(
         rankings.daily_price_change, ("-date", "ticker")),
 }
@@ -52,9 +55,16 @@ DEFAULT_VIEWS = (
 )
 
 
-def build(name: str, bars: DataFrame, spec: PanelSpec = BARS) -> DataFrame:
-    """The view's rows in no particular order."""
-    return CURATED[name].build(bars, spec)
+def build(
+    name: str, bars: DataFrame, spec: PanelSpec = BARS, at_most: DataFrame | None = None
+) -> DataFrame:
+    """The view's rows in no particular order.
+
+    ``at_most`` is a table with no fewer rows than ``bars`` that is quick to
+    count; it can spare a ranked view the measuring of its groups.
+    """
+    view = CURATED[name]
+    return view.build(bars, spec, at_most=at_most) if view.ranked else view.build(bars, spec)
 
 
 def sort_columns(name: str, spec: PanelSpec = BARS) -> list[Column]:

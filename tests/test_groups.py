@@ -47,6 +47,16 @@ def test_only_totals(spark):
     assert got.exceptAll(expected(df).drop("rv", "rn")).isEmpty()
 
 
+def test_few_rows_in_all_spare_the_measuring(spark, monkeypatch):
+    df = skewed(spark)
+    monkeypatch.setattr(groups, "hot_groups", lambda *a: pytest.fail("measured"))
+    got = with_group_standing(df, ["g"], ["id"], {"rv": "v", "rn": "n"}, {"total": "n"},
+                              at_most=df, hot_rows=6000)
+    assert got.exceptAll(expected(df)).isEmpty()
+    with pytest.raises(pytest.fail.Exception):
+        with_group_standing(df, ["g"], ["id"], {"rv": "v"}, at_most=df, hot_rows=5999)
+
+
 def test_null_group_is_ranked_too(spark):
     df = skewed(spark).withColumn("g", F.when(F.col("g") != "g1", F.col("g")))
     got = with_group_standing(df, ["g"], ["id"], {"rv": "v", "rn": "n"}, {"total": "n"},
