@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from panelmill.llm.packing import pack
 from panelmill.llm.pieces import encode_decode
+from panelmill.llm.quality import quality_rules
 from panelmill.llm.shared import new_folder
+from panelmill.llm.simhash import near_duplicates
 from panelmill.llm.token_counts import token_counts
 from panelmill.llm.token_store import read_store, write_store
 
@@ -22,6 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark, sf_dir):
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op3_simhash(spark, sf_dir):
+    rows = near_duplicates(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "fingerprint", "component_id")
+
+
 def op4_token_counts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return token_counts(docs, "piece", PIECE)
@@ -53,6 +64,6 @@ def op9_pieces(spark, sf_dir):
 
 
 QUERIES = {
-    f.__name__: f for f in (op4_token_counts, op6_token_store, op7_packing, op9_pieces)
+    f.__name__: f for f in (op1_quality_rules, op3_simhash, op4_token_counts, op6_token_store, op7_packing, op9_pieces)
 }
 ORACLES: dict[str, str] = {}
