@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelmill.llm.ordinal import classify
 from panelmill.llm.packing import pack
 from panelmill.llm.pieces import encode_decode
 from panelmill.llm.quality import quality_rules
@@ -19,6 +20,9 @@ PIECE, BYTE, WORD = (
     for name in ("piece_bpe_32k.model", "byte_bpe_50k.json", "word_bpe_49k.json")
 )
 
+#: Probability of the best grade from which the classifier keeps a document.
+KEEP = 0.6
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -63,7 +67,11 @@ def op9_pieces(spark, sf_dir):
     )
 
 
+def op10_ordinal(spark, sf_dir):
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), KEEP)
+
+
 QUERIES = {
-    f.__name__: f for f in (op1_quality_rules, op3_simhash, op4_token_counts, op6_token_store, op7_packing, op9_pieces)
+    f.__name__: f for f in (op1_quality_rules, op3_simhash, op4_token_counts, op6_token_store, op7_packing, op9_pieces, op10_ordinal)
 }
 ORACLES: dict[str, str] = {}
