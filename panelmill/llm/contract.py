@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from panelmill.llm.ordinal import classify
 from panelmill.llm.packing import pack
+from panelmill.llm.paragraphs import repeated_passages
 from panelmill.llm.pieces import encode_decode
 from panelmill.llm.quality import quality_rules
 from panelmill.llm.shared import new_folder
@@ -42,6 +43,10 @@ def op4_token_counts(spark, sf_dir):
     return token_counts(docs, "piece", PIECE)
 
 
+def op5_paragraphs(spark, sf_dir):
+    return repeated_passages(table(spark, sf_dir, "documents")).drop("text_id")
+
+
 def op6_token_store(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     manifest = write_store(docs, new_folder(spark, "token-store"), BYTE)
@@ -72,6 +77,6 @@ def op10_ordinal(spark, sf_dir):
 
 
 QUERIES = {
-    f.__name__: f for f in (op1_quality_rules, op3_simhash, op4_token_counts, op6_token_store, op7_packing, op9_pieces, op10_ordinal)
+    f.__name__: f for f in (op1_quality_rules, op3_simhash, op4_token_counts, op5_paragraphs, op6_token_store, op7_packing, op9_pieces, op10_ordinal)
 }
 ORACLES: dict[str, str] = {}
