@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelmill.llm.arc import convert, read_warc, with_referred_keys, write_arc
 from panelmill.llm.ordinal import classify
 from panelmill.llm.packing import pack
 from panelmill.llm.paragraphs import repeated_passages
@@ -33,6 +34,15 @@ def op1_quality_rules(spark, sf_dir):
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op2_arc_to_warc(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    arcs = write_arc(pages, new_folder(spark, "arc"))
+    warcs = convert(arcs, new_folder(spark, "warc"))
+    return with_referred_keys(read_warc(warcs)).select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op3_simhash(spark, sf_dir):
     rows = near_duplicates(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "fingerprint", "component_id")
@@ -77,6 +87,6 @@ def op10_ordinal(spark, sf_dir):
 
 
 QUERIES = {
-    f.__name__: f for f in (op1_quality_rules, op3_simhash, op4_token_counts, op5_paragraphs, op6_token_store, op7_packing, op9_pieces, op10_ordinal)
+    f.__name__: f for f in (op1_quality_rules, op2_arc_to_warc, op3_simhash, op4_token_counts, op5_paragraphs, op6_token_store, op7_packing, op9_pieces, op10_ordinal)
 }
 ORACLES: dict[str, str] = {}
