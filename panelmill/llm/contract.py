@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelmill.llm.arc import convert, read_warc, with_referred_keys, write_arc
+from panelmill.llm.neighbours import search
 from panelmill.llm.ordinal import classify
 from panelmill.llm.packing import pack
 from panelmill.llm.paragraphs import repeated_passages
@@ -72,6 +73,11 @@ def op7_packing(spark, sf_dir):
     )
 
 
+def op8_neighbours(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return search(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op9_pieces(spark, sf_dir):
     rows = encode_decode(table(spark, sf_dir, "documents"), PIECE)
     return rows.select(
@@ -87,6 +93,6 @@ def op10_ordinal(spark, sf_dir):
 
 
 QUERIES = {
-    f.__name__: f for f in (op1_quality_rules, op2_arc_to_warc, op3_simhash, op4_token_counts, op5_paragraphs, op6_token_store, op7_packing, op9_pieces, op10_ordinal)
+    f.__name__: f for f in (op1_quality_rules, op2_arc_to_warc, op3_simhash, op4_token_counts, op5_paragraphs, op6_token_store, op7_packing, op8_neighbours, op9_pieces, op10_ordinal)
 }
 ORACLES: dict[str, str] = {}
