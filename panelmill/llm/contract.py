@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from panelmill.llm.arc import convert, read_warc, with_referred_keys, write_arc
 from panelmill.llm.neighbours import search
+from panelmill.llm.oracles import ORACLES  # noqa: F401  part of the contract
 from panelmill.llm.ordinal import classify
 from panelmill.llm.packing import pack
 from panelmill.llm.paragraphs import repeated_passages
@@ -95,4 +96,4 @@ def op10_ordinal(spark, sf_dir):
 QUERIES = {
     f.__name__: f for f in (op1_quality_rules, op2_arc_to_warc, op3_simhash, op4_token_counts, op5_paragraphs, op6_token_store, op7_packing, op8_neighbours, op9_pieces, op10_ordinal)
 }
-ORACLES: dict[str, str] = {}
+

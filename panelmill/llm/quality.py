@@ -23,11 +23,11 @@ WINDOW = 8
 #: Sketched figures, each a whole number, and how far a document may lie above the middle of its group: at
 #: most so many spreads, where a spread is the distance from the 10th to the 50th percentile, but
 #: never less than the figure's own least spread. Figures of no group make a rule that ordinary text trips.
-RULES: Mapping[str, tuple[Column, int, int]] = {
-    "symbols_permille": (F.expr("n_symbols * 1000 div n_words"), 4, 75),
-    "duplicates_permille": (F.expr("n_dup_lines * 1000 div n_words"), 4, 40),
-    "repeats_permille": (F.expr("n_repeat_words * 1000 div n_words"), 4, 75),
-    "chars_percent": (F.expr("word_chars * 100 div n_words"), 4, 200),
+RULES: Mapping[str, tuple[str, int, int]] = {
+    "symbols_permille": ("n_symbols * 1000 div n_words", 4, 75),
+    "duplicates_permille": ("n_dup_lines * 1000 div n_words", 4, 40),
+    "repeats_permille": ("n_repeat_words * 1000 div n_words", 4, 75),
+    "chars_percent": ("word_chars * 100 div n_words", 4, 200),
 }
 #: A group with fewer documents is judged by its language's sketch, a rare language by all documents'.
 MIN_GROUP = 100
@@ -110,7 +110,7 @@ def sketch(rows: DataFrame, by: list[str]) -> DataFrame:
     sketches merge by adding the counts of equal buckets. It has at most 64
     buckets for each doubling of the value, however many rows it has seen.
     """
-    figures = F.array(*[F.struct(F.lit(name).alias("figure"), value.alias("v")) for name, (value, _, _) in RULES.items()])
+    figures = F.array(*[F.struct(F.lit(name).alias("figure"), F.expr(value).alias("v")) for name, (value, _, _) in RULES.items()])
     long = rows.where(~F.col("base_failed")).select(*by, F.inline(figures))
     shift = F.greatest(F.length(F.bin("v")) - SKETCH_BITS, F.lit(0))
     long = long.withColumn("shift", shift)
@@ -165,7 +165,7 @@ def thresholds(rows: DataFrame) -> DataFrame:
 
 def _verdict() -> Column:
     """False for a row that fails a base rule or lies above a threshold of its group."""
-    inside = [~F.coalesce(value > F.col(f"most_{name}"), F.lit(False)) for name, (value, _, _) in RULES.items()]
+    inside = [~F.coalesce(F.expr(value) > F.col(f"most_{name}"), F.lit(False)) for name, (value, _, _) in RULES.items()]
     ok = inside[0]
     for one in inside[1:]:
         ok = ok & one
