@@ -139,7 +139,8 @@ def forest(prints: np.ndarray, radius: int) -> list[tuple[int, int]]:
                 one, *rest = np.flatnonzero(near[:, j]).tolist()
                 for i in rest:
                     if sets[i] != sets[one]:
-                        links.append((int(prints[asking[i]]), int(prints[asking[one]])))
+                        links.append((int(prints[others[j]]), int(prints[asking[i]])))
+                        links.append((int(prints[others[j]]), int(prints[asking[one]])))
                         sets = [sets[one] if x == sets[i] else x for x in sets]
             hit = reached[len(asking):]
             queue.extend(left[hit].tolist())

@@ -1,0 +1,128 @@
+"""The registered queries: against SQL where there is some, else against plain Python."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+from compare import difference
+
+from panelmill.llm.contract import BYTE, ORACLES, PIECE, QUERIES, WORD
+
+
+@pytest.fixture(scope="module")
+def texts(spark, small):
+    rows = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()
+    return sorted((r.doc_id, r.text or "") for r in rows)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_against_sql(spark, small, name):
+    assert difference(QUERIES[name](spark, small), ORACLES[name], small) == ""
+
+
+def test_simhash(spark, small, texts):
+    prints = []
+    for _, text in texts:
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+        runs = [" ".join(words[i:i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+        hashes = [xxhash.xxh64_intdigest(r.encode(), seed=42) for r in runs]
+        prints.append(sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)))
+    group = [k for k, _ in texts]
+    changed = True
+    while changed:
+        changed = False
+        for i, a in enumerate(prints):
+            for j, b in enumerate(prints):
+                if (a ^ b).bit_count() <= 4 and group[j] < group[i]:
+                    group[i], changed = group[j], True
+    want = sorted((k, format(p, "016x"), g) for (k, _), p, g in zip(texts, prints, group, strict=True))
+    assert sorted(map(tuple, QUERIES["op3_simhash"](spark, small).collect())) == want
+
+
+def test_piece_queries(spark, small, texts):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECE)
+    ids = [model.encode(t) for _, t in texts]
+    want = [(k, len(t.encode()), len(i), len(i) > 4096) for (k, t), i in zip(texts, ids, strict=True)]
+    assert sorted(map(tuple, QUERIES["op4_token_counts"](spark, small).collect())) == want
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = [(k, len(i), sha(",".join(map(str, i))), sha(model.decode(i))) for (k, _), i in zip(texts, ids, strict=True)]
+    assert sorted(map(tuple, QUERIES["op9_pieces"](spark, small).collect())) == want
+
+
+def _ids(path, texts):
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(path)
+    return {k: np.array([*model.encode(t, add_special_tokens=False).ids, 2], "<u4") for k, t in texts}
+
+
+def test_token_store(spark, small, texts):
+    want, at = [], 0
+    for k, ids in _ids(BYTE, texts).items():
+        want.append((k, at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    assert sorted(map(tuple, QUERIES["op6_token_store"](spark, small).collect())) == want
+
+
+def test_packing(spark, small, texts):
+    ids = _ids(WORD, texts)
+    rows = QUERIES["op7_packing"](spark, small).collect()
+    pieces, filled = {k: 0 for k in ids}, {}
+    for r in sorted(rows, key=lambda r: (r.doc_id, r.start)):
+        assert r.start == pieces[r.doc_id] and r.doc_tokens == len(ids[r.doc_id])
+        assert r.ids_crc32 == zlib.crc32(ids[r.doc_id][r.start:r.start + r.length].tobytes())
+        pieces[r.doc_id] += r.length
+        filled[r.sequence_id] = filled.get(r.sequence_id, 0) + r.length
+    assert pieces == {k: len(v) for k, v in ids.items()}
+    assert max(filled.values()) <= 4096 and sum(filled.values()) / len(filled) > 0.9 * 4096
+
+
+def test_neighbours_recall(spark, small):
+    rows = spark.read.parquet(f"{small}/embeddings.parquet").collect()
+    keys, m = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float)
+    u = m / np.linalg.norm(m, axis=1, keepdims=True)
+    got = {}
+    for r in QUERIES["op8_neighbours"](spark, small).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in keys[keys % 50 == 0]:
+        s = u @ u[keys == q][0]
+        s[keys == q] = -9
+        hits += len(got[q] & set(keys[np.argsort(-s)[:5]].tolist()))
+    assert hits >= 0.9 * 5 * len(got) and len(got) == (keys % 50 == 0).sum()
+
+
+def test_classifier_on_held_out_labels(spark):
+    from panelmill.llm import ordinal
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    held = labels.where("pmod(xxhash64(doc_id, 7), 4) = 0")
+    model = ordinal.train(docs, labels.subtract(held))
+    got = ordinal.score(docs, model, columns=["doc_id"]).select("row.doc_id", "kept").join(held, "doc_id").collect()
+    good = [r.kept for r in got if r.quality == 1 and not r.toxic]
+    bad = [r.kept for r in got if r.quality == 0]
+    toxic = [r.kept for r in got if r.quality == 1 and r.toxic]
+    assert sum(good) > 0.97 * len(good) and sum(bad) < 0.2 * len(bad) and sum(toxic) < 0.5 * len(toxic)
+
+
+def test_pipeline(spark, small):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    before = {r.doc_id for r in docs.collect()}
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, small)
+        if number < 4:
+            assert out.columns == docs.columns and out.schema == docs.schema
+        docs = out
+        keys = {r.doc_id for r in out.collect()}
+        assert keys <= before
+        before = keys
+    assert len(before) > 100
