@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from panelmill.contract.panels import DAMPING
 from panelmill.contract.queries import MONTH, SECTOR, SEED_DAY, SINCE_YEAR, TICKERS, UPSERT_DAY
 
 
@@ -120,10 +121,12 @@ compared AS (
   SELECT sector, date, {snap('c', 2)} AS avg_close, {snap('v', 0)} AS avg_volume,
          {snap('ret * 100', 2)} AS sector_daily_return_pct,
          {snap('m7', 2)} AS ma7, {snap('m30', 2)} AS ma30,
-         CASE WHEN m7 > m30 THEN 'Bullish' WHEN m7 < m30 THEN 'Bearish' ELSE 'Neutral' END
+         CASE WHEN {snap('m7', 10)} > {snap('m30', 10)} THEN 'Bullish'
+              WHEN {snap('m7', 10)} < {snap('m30', 10)} THEN 'Bearish' ELSE 'Neutral' END
            AS trend,
          {snap('(v - pv) / nullif(pv, 0) * 100', 2)} AS money_flow_indicator,
-         rank() OVER (PARTITION BY date ORDER BY ret DESC NULLS LAST) AS performance_rank
+         1 + (SELECT count(*) FROM later o WHERE o.date = later.date AND {snap('o.ret', 10)} > {snap('later.ret', 10)})
+           AS performance_rank
   FROM later)
 SELECT * FROM compared"""
 
@@ -163,12 +166,17 @@ SELECT sector, date, n AS ticker_count, {snap('c')} AS avg_close, {snap('lo')} A
        {snap('v')} AS avg_volume, {snap('pc')} AS prev_avg_close,
        {snap('ret * 100')} AS sector_daily_return_pct,
        {snap('(vol - pvol) / nullif(pvol, 0) * 100')} AS volume_change_pct,
-       rank() OVER (PARTITION BY date ORDER BY ret DESC NULLS LAST) AS performance_rank,
+       rank() OVER (PARTITION BY date ORDER BY {snap('ret', 10)} DESC NULLS LAST) AS performance_rank,
        {snap('vol * ret', 4)} AS money_flow_indicator,
        {snap('m7')} AS ma7, {snap('m30')} AS ma30, year, month
 FROM rets"""
 
-_RISK_FULL = f"""{BARS},
+_DAMPED = f"""{BARS.replace("bars AS (", "plain AS (", 1)},
+bars AS (SELECT * REPLACE (close + {DAMPING} AS close) FROM plain)"""
+
+
+def _risk_full(panel: str) -> str:
+    return f"""{panel},
 steps AS (
   SELECT *, lag(close) OVER (PARTITION BY ticker ORDER BY date) AS p
   FROM bars WHERE close IS NOT NULL),
@@ -195,6 +203,8 @@ risk AS (
   FROM frames WHERE sd20 IS NOT NULL)
 SELECT * FROM risk"""
 
+_RISK_FULL = _risk_full(BARS)
+
 _REPORT = f"""WITH {RAW},
 asked AS (
   SELECT DISTINCT {_ticker('s_suppkey')} AS ticker FROM supplier
@@ -325,10 +335,13 @@ SELECT ticker, sector, date, close, p AS prev_close,
 FROM steps WHERE p IS NOT NULL""",
     "latest_ranking": f"{_RANKING} WHERE date = (SELECT max(date) FROM ranked)",
     "top_sectors": f"{_COMPARISON} ORDER BY date DESC, performance_rank, sector LIMIT 10",
-    "high_risk_latest": f"""{_RISK} WHERE risk_category = 'High Risk'
-ORDER BY date DESC, ticker LIMIT 10""",
-    "very_high_risk_latest": f"""{_RISK_FULL} WHERE risk_category = 'Very High'
+    "high_risk_rows": f"{_RISK} WHERE risk_category = 'High Risk'",
+    "high_latest": f"""{_risk_full(_DAMPED)} WHERE risk_category = 'High'
 ORDER BY date DESC, ticker LIMIT 10""",
+    "latest_sector_days": f"{_daily_summary(BARS, 'sector')} ORDER BY date DESC, sector LIMIT 10",
+    "dedupe_sector_change": f"""{BARS}
+SELECT CASE WHEN right(ticker, 1) = '0' THEN 'A_' || sector ELSE sector END AS sector, ticker, date, close
+FROM bars""",
     "activity_daily_summary": _daily_summary(ACTIVITY, "event_type"),
     "activity_ranking": _ranking(ACTIVITY, "event_type", "user_id", "user_id, event_type"),
     "activity_volatility": _volatility(ACTIVITY, "event_type", "user_id", "user_id, event_type"),

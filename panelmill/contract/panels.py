@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from panelmill.operators import enrich
 from panelmill.schemas import PanelSpec
 
+DAMPING = 1_000_000.0
 ACTIVITY = PanelSpec(
     entity="user_id", group="event_type", date="date", series=("user_id", "event_type")
 )
@@ -26,20 +27,18 @@ def ticker(key: str):
 
 
 def _sale_position():
-    """Order, line and price as one number that sorts like the three of them.
+    """Order and line, which are the key of a sale, as one number that sorts like them.
 
-    Lines are one digit and prices below 10^10. Unlike a struct, a decimal can
+    A line number may have ten digits, all that an integer has. Unlike a struct, a decimal can
     be updated in place, so the aggregate hashes instead of sorting its input.
     """
-    line = F.col("l_orderkey").cast("decimal(20,0)") * F.lit(10).cast("decimal(2,0)") + F.col(
-        "l_linenumber").cast("decimal(2,0)")
-    return line * F.lit(10**10).cast("decimal(11,0)") + F.col("l_extendedprice").cast(
-        "decimal(12,2)")
+    order = F.col("l_orderkey").cast("decimal(20,0)") * F.lit(10**10).cast("decimal(11,0)")
+    return order + F.col("l_linenumber").cast("decimal(10,0)")
 
 
 def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One bar per supplier and ship date; the first and last sale by order,
-    line and price give open and close."""
+    """One bar per supplier and ship date; the first and last sale by order
+    and line give open and close."""
     days = (
         table(spark, sf_dir, "lineitem")
         .withColumn("sale", _sale_position())
@@ -91,6 +90,20 @@ def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damped(bars: DataFrame) -> DataFrame:
+    """The bars with closes far above their daily moves, so that risk classes below the highest occur."""
+    return bars.withColumn("close", F.col("close") + DAMPING)
+
+
+def resent_elsewhere(bars: DataFrame) -> DataFrame:
+    """Stored bars of which every tenth ticker was loaded again from the same files, after a change of group."""
+    again = bars.where(F.substring("ticker", -1, 1) == "0").withColumns({
+        "sector": F.concat(F.lit("A_"), "sector"),
+        "ingested_at": F.col("ingested_at") + F.expr("INTERVAL 1 DAY"),
+    })
+    return bars.unionByName(again)
+
+
 def refetched(raw: DataFrame) -> DataFrame:
     """The feed with every bar that closed below its open sent again, corrected."""
     again = raw.where(F.col("close") < F.col("open")).withColumns({

@@ -40,9 +40,7 @@ def snapped(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
 
 
 def _view(name: str, spark: SparkSession, sf: str) -> DataFrame:
-    """A curated view; every bar comes from at least one sale."""
-    sales = panels.table(spark, sf, "lineitem")
-    return plans.build(name, panels.bars(spark, sf), at_most=sales)
+    return plans.build(name, panels.bars(spark, sf))
 
 
 def _curated(name: str) -> Query:
@@ -156,8 +154,7 @@ def rolling_drawdown(spark, sf):
 def volume_share(spark, sf):
     bars = panels.bars(spark, sf).select("sector", "ticker", "date", "volume")
     shares = with_group_standing(
-        bars, ["sector", "date"], ["ticker"], ranks={}, totals={"sector_volume": "volume"},
-        at_most=panels.table(spark, sf, "lineitem"),
+        bars, ["sector", "date"], ["ticker"], ranks={}, totals={"sector_volume": "volume"}
     )
     return snapped(shares.withColumn(
         "share_pct", ratio(F.col("volume").cast("double") * 100, F.col("sector_volume"))
@@ -190,27 +187,36 @@ def named_sector_comparison(spark, sf):
 
 
 def latest_ranking(spark, sf):
-    return lookups.latest_day(_view("sector_performance_ranking", spark, sf))
+    bars = panels.bars(spark, sf)
+    newest = lookups.newest_move(panels.raw_bars(spark, sf).select("ticker", "date"))
+    return lookups.latest_day(plans.build("sector_performance_ranking", bars), newest=newest)
 
 
 def top_sectors(spark, sf):
     return lookups.top_sectors(_view("cross_sector_comparison", spark, sf))
 
 
-def high_risk_latest(spark, sf):
-    view = _view("volatility_analysis", spark, sf)
-    return lookups.highest_risk(view, "High Risk")
+def high_risk_rows(spark, sf):
+    return lookups.of_risk(_view("volatility_analysis", spark, sf), "High Risk")
+
+
+def high_latest(spark, sf):
+    calm = panels.damped(panels.bars(spark, sf))
+    return lookups.highest_risk(snapped(plans.build("volatility_full", calm)), "High")
+
+
+def latest_sector_days(spark, sf):
+    return lookups.latest_rows(_view("sector_daily_summary", spark, sf))
 
 
-def very_high_risk_latest(spark, sf):
-    view = snapped(_view("volatility_full", spark, sf))
-    return lookups.highest_risk(view, "Very High")
+def dedupe_sector_change(spark, sf):
+    stored = panels.resent_elsewhere(panels.bars(spark, sf))
+    return dedupe_bars(stored).select("sector", "ticker", "date", "close")
 
 
 def _activity(name: str) -> Query:
     return lambda spark, sf: plans.build(
-        name, panels.activity(spark, sf), panels.ACTIVITY,
-        at_most=panels.table(spark, sf, "events"))
+        name, panels.activity(spark, sf), panels.ACTIVITY)
 
 
 QUERIES: dict[str, Query] = {
@@ -247,8 +253,10 @@ QUERIES: dict[str, Query] = {
     "daily_price_change": _curated("daily_price_change"),
     "latest_ranking": latest_ranking,
     "top_sectors": top_sectors,
-    "high_risk_latest": high_risk_latest,
-    "very_high_risk_latest": very_high_risk_latest,
+    "high_risk_rows": high_risk_rows,
+    "high_latest": high_latest,
+    "latest_sector_days": latest_sector_days,
+    "dedupe_sector_change": dedupe_sector_change,
     "activity_daily_summary": _activity("sector_daily_summary"),
     "activity_ranking": _activity("sector_performance_ranking"),
     "activity_volatility": _activity("volatility_analysis"),

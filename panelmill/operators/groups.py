@@ -1,12 +1,14 @@
 """Ranks and totals inside a group, for groups of any size.
 
 A (group, date) holds every entity of that group, which may be a large part of
-the table. The group sizes are counted first, a column-pruned aggregate with
-map-side combine. Groups up to ``hot_rows`` rows are ranked by plain windows
-that share one exchange. Larger ones are split by value: the rows of such a
-group are put into ordered slots between cut values, every slot is ranked on
-its own task, and the number of rows in the slots above is added. The result
-is exact for any choice of cuts; they only decide how evenly work is spread.
+the table. By default groups are ranked by plain windows that share one
+exchange, and nothing runs before the action. A caller whose groups outgrow a
+task asks for splitting with ``hot_rows``: then groups are counted, by a
+column-pruned aggregate with map-side combine, and those above that many rows
+are split by value. The rows of such a group are put into ordered slots between
+cut values, every slot is ranked on its own task, and the number of rows in the
+slots above is added. The result is exact for any choice of cuts; they only
+decide how evenly work is spread.
 """
 
 from __future__ import annotations
@@ -19,11 +21,9 @@ from pyspark.sql import functions as F
 
 from panelmill.durable import materialize
 
-HOT_GROUP_ROWS = 10_000_000
 # Cut values per group: some for every part of it, so that even an unlucky slot
-# stays below the size of a part, up to a limit for the largest groups.
+# stays below the size of a part.
 CUTS_PER_PART = 16
-MAX_CUTS = 4096
 _BLOCK = 32
 
 
@@ -34,53 +34,45 @@ def with_group_standing(
     ranks: dict[str, str],
     totals: dict[str, str] | None = None,
     sized_by: DataFrame | None = None,
-    at_most: DataFrame | None = None,
-    hot_rows: int = HOT_GROUP_ROWS,
-    max_cuts: int = MAX_CUTS,
+    hot_rows: int | None = None,
+    cuts_per_part: int = CUTS_PER_PART,
 ) -> DataFrame:
     """Add ``rank() over (partition by keys order by column desc nulls last)``
     for every ``{out: column}`` of ``ranks``, and the group's sum for every one
     of ``totals``.
 
     ``identity`` names columns that tell the rows of a group apart.
-    ``sized_by`` may be a cheaper table with at least the rows of ``df`` in
-    every group, to measure the groups on. ``at_most`` may be a table with at
-    least the rows of ``df`` in all that is quick to count, such as stored
-    Parquet files, whose footers hold the count: while even all of its rows
-    are no more than ``hot_rows``, no group is measured. Ranked columns must not depend on
-    the order of summation, since the split reads them twice. Keys should hold
-    no nulls: rows with a null key are ranked, but their group is not split.
+    Without ``hot_rows`` the plan is one window stage, lazy as a whole. With
+    it, groups above so many rows are split: that writes the rows of the
+    large groups to ``spark.checkpoint.dir`` when this function is called, and
+    it reads ``df`` once for them and once for the others. ``sized_by`` may be
+    a cheaper table with at least the rows of ``df`` in every group, to measure
+    the groups on. Ranked columns must not depend on the order of summation,
+    since the split reads them twice. Null keys form a group like any other.
     """
     totals = totals or {}
-    hot = None
-    if at_most is None or at_most.count() > hot_rows:
-        hot = hot_groups(df if sized_by is None else sized_by, keys, hot_rows)
-    if hot is None:
+    if hot_rows is None:
         return _by_window(df, keys, ranks, totals)
-    # Bounded: at most (rows of the table / hot_rows) groups are hot.
-    hot = F.broadcast(hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_rows", "_parts"))
+    hot = hot_groups(df if sized_by is None else sized_by, keys, hot_rows)
+    hot = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_rows", "_parts")
     is_hot = _same(keys, "_hot_")
     cold = df.join(hot, is_hot, "left_anti")
     big = materialize(df.join(hot, is_hot).drop(*[f"_hot_{k}" for k in keys]))
     return _by_window(cold, keys, ranks, totals).unionByName(
-        _by_slot(big, keys, identity, ranks, totals, max_cuts)
+        _by_slot(big, keys, identity, ranks, totals, cuts_per_part)
     )
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
-    """Keys, rows and parts of the groups above ``hot_rows``; None if there are none.
-
-    Runs one small job: the answer decides the shape of the plan.
-    """
+def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """Keys, rows and parts of the groups above ``hot_rows``."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = sizes.where(F.col("_rows") > hot_rows).withColumn(
+    return sizes.where(F.col("_rows") > hot_rows).withColumn(
         "_parts", F.ceil(F.col("_rows") / hot_rows).cast("bigint")
     )
-    return None if hot.isEmpty() else hot
 
 
 def _same(keys: Sequence[str], prefix: str) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k) == F.col(f"{prefix}{k}") for k in keys])
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
 
 
 def _by_window(df, keys, ranks, totals) -> DataFrame:
@@ -93,7 +85,7 @@ def _by_window(df, keys, ranks, totals) -> DataFrame:
     return df.withColumns(columns)
 
 
-def _place(df, keys, identity, ranks, totals, max_cuts) -> DataFrame:
+def _place(df, keys, identity, ranks, totals, cuts_per_part) -> DataFrame:
     """Rows of hot groups with their totals, and per rank their slot and piece.
 
     ``df`` carries ``_rows`` and ``_parts`` of each row's group. A piece is
@@ -104,7 +96,7 @@ def _place(df, keys, identity, ranks, totals, max_cuts) -> DataFrame:
     df = df.withColumn("_part", F.pmod(spread, F.col("_parts")))
     # Cut values are those of rows chosen by a hash of their identity: the same
     # rows on every attempt and in every branch of the plan.
-    wanted = F.least(F.col("_parts") * CUTS_PER_PART, F.lit(max_cuts))
+    wanted = F.col("_parts") * cuts_per_part
     chosen = F.pmod(F.xxhash64(F.lit("cut"), *identity), F.col("_rows")) < wanted
     stats = df.groupBy(*keys).agg(
         F.max("_parts").alias("_n"),
@@ -142,9 +134,9 @@ def _place(df, keys, identity, ranks, totals, max_cuts) -> DataFrame:
     )
 
 
-def _by_slot(df, keys, identity, ranks, totals, max_cuts) -> DataFrame:
+def _by_slot(df, keys, identity, ranks, totals, cuts_per_part) -> DataFrame:
     kept = [c for c in df.columns if c not in ("_rows", "_parts")]
-    placed = _place(df, keys, identity, ranks, totals, max_cuts)
+    placed = _place(df, keys, identity, ranks, totals, cuts_per_part)
     if ranks:
         placed = materialize(placed)
     out = placed

@@ -31,10 +31,19 @@ def _greatest_row(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
 def dedupe_bars(
     df: DataFrame,
     spec: PanelSpec = BARS,
-    order: Sequence[str] = ("fetched_at", "source_file"),
+    order: Sequence[str] = ("fetched_at", "ingested_at", "source_file"),
 ) -> DataFrame:
-    """One row per (series, date): the latest copy, also when the group changed."""
-    return _greatest_row(df, spec.row_keys, [c for c in order if c in df.columns])
+    """One row per (series, date): the latest copy, also when the group changed.
+
+    A copy fetched later wins; of copies of one fetch, such as a replayed file,
+    the one loaded later. Rows without a date have no key: they stay, but for
+    those that only differ in when they were loaded.
+    """
+    content = [c for c in df.columns if c != "ingested_at"]
+    undated = F.when(F.col(spec.date).isNull(), F.xxhash64(*content))
+    keyed = df.withColumn("_undated", undated)
+    found = _greatest_row(keyed, [*spec.row_keys, "_undated"], [c for c in order if c in df.columns])
+    return found.drop("_undated")
 
 
 def latest_per_entity(df: DataFrame, spec: PanelSpec = BARS) -> DataFrame:
@@ -47,7 +56,8 @@ def upsert_by_key(old: DataFrame, new: DataFrame, key: str, now: Column) -> Data
 
     A row of ``new`` replaces every column it brings, nulls included. Known
     keys keep their creation time; every written key gets ``now`` as update
-    time. Rows of ``old`` without news stay as they are.
+    time. Rows of ``old`` without news stay as they are. Columns that only
+    ``new`` has are added, null for rows without news.
     """
     stamps = ("created_at", "updated_at")
     n, o = new.alias("n"), old.alias("o")
@@ -68,4 +78,5 @@ def upsert_by_key(old: DataFrame, new: DataFrame, key: str, now: Column) -> Data
         else:
             value = F.col(f"o.{c}")
         out.append(value.alias(c))
+    out += [F.col(f"n.{c}").alias(c) for c in new.columns if c not in old.columns]
     return o.join(n, F.col(f"o.{key}") == F.col(f"n.{key}"), "full").select(*out)

@@ -2,7 +2,9 @@
 
 Both views first aggregate to one row per (group, day). Their windows see only
 that table: along one group, at most a row per calendar day; across one day, a
-row per group, and groups are few because each is a storage partition.
+row per group, and groups are few because each is a storage partition. Means
+are snapped to ten decimals before they are compared or ranked, so that the
+order of summation decides neither a trend nor a tie.
 """
 
 from __future__ import annotations
@@ -35,8 +37,10 @@ def cross_sector_comparison(bars: DataFrame, spec: PanelSpec = BARS) -> DataFram
         })
         .where(prev.isNotNull())
         .withColumn("_prev_volume", F.lag("_volume").over(along))
-        .withColumn("_return", change(mean, prev))
+        .withColumn("_return", snap_round(change(mean, prev), 10))
+        .withColumns({"_short": snap_round(ma7, 10), "_long": snap_round(ma30, 10)})
     )
+    short, long = F.col("_short"), F.col("_long")
     return days.select(
         spec.group, spec.date,
         snap_round(mean, 2).alias("avg_close"),
@@ -44,7 +48,7 @@ def cross_sector_comparison(bars: DataFrame, spec: PanelSpec = BARS) -> DataFram
         snap_round(F.col("_return") * 100, 2).alias("sector_daily_return_pct"),
         snap_round(ma7, 2).alias("ma7"),
         snap_round(ma30, 2).alias("ma30"),
-        F.when(ma7 > ma30, "Bullish").when(ma7 < ma30, "Bearish").otherwise("Neutral")
+        F.when(short > long, "Bullish").when(short < long, "Bearish").otherwise("Neutral")
         .alias("trend"),
         snap_round(pct_change(F.col("_volume"), F.col("_prev_volume")), 2)
         .alias("money_flow_indicator"),
@@ -85,7 +89,7 @@ def cross_sector_full(bars: DataFrame, spec: PanelSpec = BARS) -> DataFrame:
         "total_volume", "avg_volume", "prev_avg_close",
         (F.col("_return") * 100).alias("sector_daily_return_pct"),
         pct_change(volume, before).alias("volume_change_pct"),
-        F.rank().over(across.orderBy(F.desc_nulls_last("_return"))).cast("bigint")
+        F.rank().over(across.orderBy(F.desc_nulls_last(snap_round(F.col("_return"), 10)))).cast("bigint")
         .alias("performance_rank"),
         (volume * F.col("_return")).alias("money_flow_indicator"),
         "ma7", "ma30", "year", "month",

@@ -29,10 +29,30 @@ def sector_view(
     )
 
 
-def latest_day(table: DataFrame, spec: PanelSpec = BARS) -> DataFrame:
-    """The rows of the table's newest date."""
-    newest = table.agg(F.max(spec.date)).scalar()
-    return table.where(F.col(spec.date) == newest)
+def latest_day(table: DataFrame, spec: PanelSpec = BARS, newest: DataFrame | None = None) -> DataFrame:
+    """The rows of the table's newest date.
+
+    ``newest`` is one row with that date, for a table that costs more to build
+    than its dates are to find.
+    """
+    newest = table.agg(F.max(spec.date)) if newest is None else newest
+    return table.where(F.col(spec.date) == newest.scalar())
+
+
+def newest_move(bars: DataFrame, spec: PanelSpec = BARS) -> DataFrame:
+    """The newest date on which a bar has one before it, without any window."""
+    ends = bars.groupBy(*spec.series_keys).agg(F.min(spec.date).alias("first"), F.max(spec.date).alias("last"))
+    return ends.where("first < last").agg(F.max("last"))
+
+
+def latest_rows(table: DataFrame, n: int = 10, spec: PanelSpec = BARS) -> DataFrame:
+    """First ``n`` rows by newest date; the group decides ties."""
+    return table.orderBy(F.desc(spec.date), F.asc(spec.group)).limit(n)
+
+
+def of_risk(volatility: DataFrame, category: str) -> DataFrame:
+    """All rows of one risk class."""
+    return volatility.where(F.col("risk_category") == category)
 
 
 def top_sectors(comparison: DataFrame, n: int = 10, spec: PanelSpec = BARS) -> DataFrame:
@@ -47,7 +67,7 @@ def highest_risk(
 ) -> DataFrame:
     """Newest ``n`` rows of one risk class; the entity decides ties."""
     return (
-        volatility.where(F.col("risk_category") == category)
+        of_risk(volatility, category)
         .orderBy(F.desc(spec.date), F.asc(spec.entity))
         .limit(n)
     )

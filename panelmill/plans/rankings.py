@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelmill.functions import change, pct_change, ratio, snap_round
-from panelmill.operators.groups import HOT_GROUP_ROWS, with_group_standing
+from panelmill.operators.groups import with_group_standing
 from panelmill.operators.series import rolling, series_window, with_previous
 from panelmill.schemas import BARS, PanelSpec
 
@@ -38,14 +38,13 @@ def daily_price_change(bars: DataFrame, spec: PanelSpec = BARS) -> DataFrame:
 def sector_performance_ranking(
     bars: DataFrame,
     spec: PanelSpec = BARS,
-    hot_rows: int = HOT_GROUP_ROWS,
-    at_most: DataFrame | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Rounded returns with ranks and volume share among the group's bars of the day.
 
     A series' first bar has no return: it is left out before ranks and shares,
-    but counts in the moving average of the bars that follow. ``hot_rows`` and
-    ``at_most`` are those of ``with_group_standing``.
+    but counts in the moving average of the bars that follow. ``hot_rows`` is
+    that of ``with_group_standing``.
     """
     window = series_window(bars, spec)
     close, prev, ma20 = F.col(spec.close), F.col("prev_close"), F.col("_ma20")
@@ -67,7 +66,7 @@ def sector_performance_ranking(
         moves, [spec.group, spec.date], spec.series_keys,
         ranks={"return_rank": "_return", "volume_rank": spec.volume},
         totals={"_total": spec.volume},
-        sized_by=bars, at_most=at_most, hot_rows=hot_rows,
+        sized_by=bars, hot_rows=hot_rows,
     )
     return standing.select(
         spec.group, spec.entity, spec.date, spec.close,
@@ -80,8 +79,7 @@ def sector_performance_ranking(
 def sector_performance_full(
     bars: DataFrame,
     spec: PanelSpec = BARS,
-    hot_rows: int = HOT_GROUP_ROWS,
-    at_most: DataFrame | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """The unrounded ranking that keeps first bars, whose null return ranks last."""
     window = series_window(bars, spec)
@@ -100,7 +98,7 @@ def sector_performance_full(
         moves, [spec.group, spec.date], spec.series_keys,
         ranks={"return_rank_in_sector": "_return", "volume_rank_in_sector": spec.volume},
         totals={"_total": spec.volume},
-        sized_by=rows, at_most=at_most, hot_rows=hot_rows,
+        sized_by=rows, hot_rows=hot_rows,
     )
     return standing.select(
         spec.group, spec.entity, spec.date, *prices, "prev_close",

@@ -29,21 +29,25 @@ def refresh_all(
     names: Iterable[str] = DEFAULT_VIEWS,
     spec: PanelSpec = BARS,
     builders: dict[str, Callable[..., DataFrame]] | None = None,
+    unique: bool = False,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Build and publish the views; one report row each.
 
     A view that fails is reported and does not stop the others. ``bars`` is a
-    frame, or the path of stored bars: these are then made unique and bucketed
-    by entity once, for all views, in a table that lasts as long as the refresh.
+    frame, or the path of stored bars: these are then bucketed by entity once,
+    for all views, in a table that lasts as long as the refresh, and made unique
+    on the way unless ``unique`` says that they are, as bars written in replace
+    mode only. ``hot_rows`` makes ranked views split groups above so many rows.
     """
     scratch = None
     source = bars
     if isinstance(bars, str):
         scratch = f"bars_by_entity_{uuid.uuid4().hex[:8]}"
         source = write_bucketed(
-            read_bars(spark, bars), scratch, root, bucket_count(spark, bars), spec)
+            read_bars(spark, bars, not unique), scratch, root, bucket_count(spark, bars), spec)
     try:
-        outcomes = [_rebuild(source, scratch is not None, name, root, spec, builders or {}) for name in names]
+        outcomes = [_rebuild(source, name, root, spec, builders or {}, hot_rows) for name in names]
     finally:
         if scratch:
             spark.sql(f"DROP TABLE IF EXISTS {scratch}")
@@ -51,12 +55,12 @@ def refresh_all(
     return spark.createDataFrame(outcomes, REPORT)
 
 
-def _rebuild(source, stored, name, root, spec, builders) -> tuple:
+def _rebuild(source, name, root, spec, builders, hot_rows) -> tuple:
     try:
         if name in builders:
             view = builders[name](source, spec)
         else:
-            view = build(name, source, spec, at_most=source if stored else None)
+            view = build(name, source, spec, hot_rows)
         by_month = name in CURATED and CURATED[name].by_month
         order = sort_columns(name, spec) if name in CURATED else ()
         path = publish(view, name, root, by_month, order)

@@ -56,15 +56,14 @@ DEFAULT_VIEWS = (
 
 
 def build(
-    name: str, bars: DataFrame, spec: PanelSpec = BARS, at_most: DataFrame | None = None
+    name: str, bars: DataFrame, spec: PanelSpec = BARS, hot_rows: int | None = None
 ) -> DataFrame:
     """The view's rows in no particular order.
 
-    ``at_most`` is a table with no fewer rows than ``bars`` that is quick to
-    count; it can spare a ranked view the measuring of its groups.
+    ``hot_rows`` makes a ranked view split groups above so many rows.
     """
     view = CURATED[name]
-    return view.build(bars, spec, at_most=at_most) if view.ranked else view.build(bars, spec)
+    return view.build(bars, spec, hot_rows=hot_rows) if view.ranked else view.build(bars, spec)
 
 
 def sort_columns(name: str, spec: PanelSpec = BARS) -> list[Column]:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelmill.functions import change, classify, ratio, snap_round
-from panelmill.operators.groups import HOT_GROUP_ROWS, with_group_standing
+from panelmill.operators.groups import with_group_standing
 from panelmill.operators.series import with_previous, with_stitched_frames
 from panelmill.plans.rankings import daily_returns
 from panelmill.schemas import BARS, PanelSpec
@@ -47,8 +47,7 @@ def volatility_analysis(bars: DataFrame, spec: PanelSpec = BARS) -> DataFrame:
 def volatility_full(
     bars: DataFrame,
     spec: PanelSpec = BARS,
-    hot_rows: int = HOT_GROUP_ROWS,
-    at_most: DataFrame | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Unrounded 20-row figures with four risk classes and the rank in the group.
 
@@ -76,7 +75,7 @@ def volatility_full(
         frames.withColumn("_risk", snap_round(F.col("volatility_20d"), 10)),
         [spec.group, spec.date], spec.series_keys,
         ranks={"volatility_rank_in_sector": "_risk"},
-        sized_by=rows, at_most=at_most, hot_rows=hot_rows,
+        sized_by=rows, hot_rows=hot_rows,
     )
     sd, mean, drop = F.col("volatility_20d"), F.col("avg_return_20d"), close - F.col("_peak20")
     return standing.select(

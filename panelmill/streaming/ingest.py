@@ -25,6 +25,7 @@ def run_stream(
     layout: str = "compact",
     views: Iterable[str] = DEFAULT_VIEWS,
     max_files: int | None = None,
+    unique: bool = False,
 ) -> list[DataFrame]:
     """Take in every file that arrived since the last run, then stop.
 
@@ -32,7 +33,8 @@ def run_stream(
     it brings: a batch that is repeated after a failure stores the same rows.
     The views are rebuilt once at the end of a run that brought any file, and
     their reports returned; if that fails, the next run makes up for it. The
-    master is read anew for every batch.
+    master is read anew for every batch. ``unique`` says that the bars were
+    only ever written in replace mode, as here, which spares the refresh a pass.
     """
     pending = f"{checkpoint.rstrip('/')}/refresh_pending"
 
@@ -53,7 +55,7 @@ def run_stream(
     query.awaitTermination()
     if curated is None or not file_exists(spark, pending):
         return []
-    report = refresh_all(spark, processed, curated, views)
+    report = refresh_all(spark, processed, curated, views, unique=unique)
     if report.where("status <> 'SUCCEEDED'").isEmpty():
         drop_folder(spark, pending)
     return [report]

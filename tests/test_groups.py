@@ -30,11 +30,11 @@ def expected(df):
     })
 
 
-@pytest.mark.parametrize("hot_rows,cuts", [(100_000, 64), (1000, 4096), (1000, 200), (100, 3)])
+@pytest.mark.parametrize("hot_rows,cuts", [(None, 16), (100_000, 64), (1000, 400), (1000, 20), (100, 1)])
 def test_split_ranks_are_exact(spark, hot_rows, cuts):
     df = skewed(spark)
     got = with_group_standing(
-        df, ["g"], ["id"], {"rv": "v", "rn": "n"}, {"total": "n"}, hot_rows=hot_rows, max_cuts=cuts
+        df, ["g"], ["id"], {"rv": "v", "rn": "n"}, {"total": "n"}, hot_rows=hot_rows, cuts_per_part=cuts
     )
     assert got.columns == ["id", "g", "v", "n", "rv", "rn", "total"]
     assert got.count() == 6000
@@ -47,20 +47,22 @@ def test_only_totals(spark):
     assert got.exceptAll(expected(df).drop("rv", "rn")).isEmpty()
 
 
-def test_few_rows_in_all_spare_the_measuring(spark, monkeypatch):
+def test_no_job_before_the_action(spark):
+    """The default plan is lazy and evaluates its input once."""
     df = skewed(spark)
-    monkeypatch.setattr(groups, "hot_groups", lambda *a: pytest.fail("measured"))
-    got = with_group_standing(df, ["g"], ["id"], {"rv": "v", "rn": "n"}, {"total": "n"},
-                              at_most=df, hot_rows=6000)
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup())
+    got = with_group_standing(df, ["g"], ["id"], {"rv": "v", "rn": "n"}, {"total": "n"})
+    assert len(tracker.getJobIdsForGroup()) == before
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range") == 1
     assert got.exceptAll(expected(df)).isEmpty()
-    with pytest.raises(pytest.fail.Exception):
-        with_group_standing(df, ["g"], ["id"], {"rv": "v"}, at_most=df, hot_rows=5999)
 
 
 def test_null_group_is_ranked_too(spark):
     df = skewed(spark).withColumn("g", F.when(F.col("g") != "g1", F.col("g")))
     got = with_group_standing(df, ["g"], ["id"], {"rv": "v", "rn": "n"}, {"total": "n"},
-                              hot_rows=100, max_cuts=32)
+                              hot_rows=100, cuts_per_part=2)
     assert got.count() == 6000
     assert got.exceptAll(expected(df)).isEmpty()
 
@@ -77,7 +79,7 @@ def test_no_task_gets_a_large_share(spark, value):
     df = spark.range(n).select("id", F.lit("one").alias("g"), F.expr(value).alias("v"))
     sized = df.withColumns({
         "_rows": F.lit(n).cast("bigint"), "_parts": F.lit(n // hot_rows).cast("bigint")})
-    placed = groups._place(sized, ["g"], ["id"], {"r": "v"}, {}, groups.MAX_CUTS)
+    placed = groups._place(sized, ["g"], ["id"], {"r": "v"}, {}, groups.CUTS_PER_PART)
     pieces = placed.groupBy("_slot_0", "_piece_0").agg(
         F.count("*").alias("n"), F.count_distinct("v").alias("values"))
     assert pieces.agg(F.sum("n")).first()[0] == n
