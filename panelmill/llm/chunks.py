@@ -24,12 +24,13 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-TABLE_ENTRIES = 300_000
+TABLE_ENTRIES = 400_000
 LONGEST_KEPT = 64
 BLOCK_BYTES = 8 << 20
 
@@ -106,7 +107,9 @@ class ChunkCoder:
             lists = self.model.encode(texts, num_threads=1)
         else:
             lists = [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
-        return [np.array(x, _IDS).tobytes() for x in lists]
+        flat = np.fromiter(chain.from_iterable(lists), _IDS).tobytes()
+        ends = list(accumulate(map(len, lists), initial=0))
+        return [flat[4 * b : 4 * e] for b, e in pairwise(ends)]
 
     def _encode(self, chunks: list[str]) -> list[bytes]:
         """Ids of chunks as they stand inside a text."""
@@ -122,18 +125,18 @@ class ChunkCoder:
     # -- the table ---------------------------------------------------------
 
     def values(self, chunks: list[str]) -> list[bytes]:
-        """Ids of each chunk; the chunks are distinct."""
+        """Ids of each chunk."""
         table = self.table
-        missing = [c for c in chunks if c not in table]
-        fresh: dict[str, bytes] = {}
-        if missing:
-            if self.kind == "piece":
-                fresh = dict(zip(missing, self._encode(missing), strict=True))
-            else:
-                fresh = self._by_parts(missing)
-        out = [table[c] if c in table else fresh[c] for c in chunks]
-        if len(table) + len(fresh) > TABLE_ENTRIES:
-            table.clear()
+        out = list(map(table.get, chunks))
+        at = [i for i, v in enumerate(out) if v is None]
+        if not at:
+            return out
+        missing = list(dict.fromkeys(chunks[i] for i in at))
+        fresh = dict(zip(missing, self._encode(missing), strict=True)) if self.kind == "piece" else self._by_parts(missing)
+        for i in at:
+            out[i] = fresh[chunks[i]]
+        if len(table) + len(fresh) > TABLE_ENTRIES:  # go on with what this block has used
+            self.table = table = {c: v for c, v in zip(chunks, out, strict=True) if len(c) <= LONGEST_KEPT}
         table.update((c, v) for c, v in fresh.items() if len(c) <= LONGEST_KEPT)
         return out
 
@@ -142,19 +145,19 @@ class ChunkCoder:
 
         Lower case can put a mark after a letter, which then belongs to the punctuation.
         """
-        table, parts, whole = self.table, {}, []
+        table, parts, wanted = self.table, [], {}
         for c in missing:
             body = c.rstrip(_SUFFIX)
             if len(body) < len(c) and body[body[:1] in " \n":].lower().isalpha():
-                parts[c] = (body, c[len(body):])
+                suffix = c[len(body):]
+                parts.append((c, body, suffix))
+                wanted[body] = wanted[suffix] = None
             else:
-                whole.append(c)
-        wanted = {p for pair in parts.values() for p in pair}.union(whole)
-        wanted = [p for p in wanted if p not in table]
-        fresh = dict(zip(wanted, self._encode(wanted), strict=True))
-        get = lambda p: table[p] if p in table else fresh[p]
-        for c, (body, suffix) in parts.items():
-            fresh[c] = get(body) + get(suffix)
+                wanted[c] = None
+        unknown = [p for p in wanted if p not in table]
+        fresh = dict(zip(unknown, self._encode(unknown), strict=True))
+        for c, body, suffix in parts:
+            fresh[c] = (fresh.get(body) or table[body]) + (fresh.get(suffix) or table[suffix])
         return fresh
 
     # -- texts -------------------------------------------------------------
@@ -180,7 +183,8 @@ class ChunkCoder:
         whole = pc.match_substring_regex(texts, self.whole).to_numpy(zero_copy_only=False)
         runs = pc.match_substring_regex(texts, self.runs).to_numpy(zero_copy_only=False) & ~whole
         plain = ~whole & ~runs
-        number: dict[str, int] = {}  # of the distinct chunks
+        keys: list[str] = []  # the chunks, nearly all of them distinct
+        number: dict[str, int] = {}
         at = []  # text by text, the chunks' numbers
         per_text = np.zeros(len(texts), np.int64)
         if plain.any():
@@ -191,20 +195,20 @@ class ChunkCoder:
             cut = pc.split_pattern(pc.replace_substring(cut, "\n", " " if self.kind == "word" else " \n"), " ")
             per_text[plain] = pc.list_value_length(cut).to_numpy(zero_copy_only=False)
             coded = cut.flatten().dictionary_encode()
-            keys = map(self._as_chunk, coded.dictionary.to_numpy(zero_copy_only=False))
-            renumbered = np.array([number.setdefault(c, len(number)) for c in keys], np.int64)
-            at.append(renumbered[coded.indices.to_numpy(zero_copy_only=False)])
+            keys = self._as_chunks(coded.dictionary.to_numpy(zero_copy_only=False))
+            number = {c: i for i, c in enumerate(keys)} if runs.any() else {}
+            at.append(coded.indices.to_numpy(zero_copy_only=False))
         for i in np.flatnonzero(runs):
             text = texts[int(i)].as_py()
             found = self.cut.findall(" " + text if self.kind == "piece" and text else text)
             per_text[i] = len(found)
-            at.append(np.array([number.setdefault(c, len(number)) for c in found], np.int64))
+            at.append(np.array([self._number(c, number, keys) for c in found], np.int32))
         order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(runs)])
-        values = self.values(list(number))
+        values = self.values(keys)
         flat = np.frombuffer(b"".join(values), _IDS)
         length = np.fromiter(map(len, values), np.int64, len(values)) // 4
         begins = np.cumsum(length) - length
-        chunk = np.concatenate([np.zeros(0, np.int64), *at])
+        chunk = np.concatenate([np.zeros(0, np.int32), *at])
         n = length[chunk]
         ids = flat[_spread(begins[chunk], n)]
         ends = np.cumsum(n)
@@ -221,19 +225,26 @@ class ChunkCoder:
             ids = ids[_spread(source, counts)]
         return ids, counts
 
-    def _as_chunk(self, piece: str) -> str:
+    def _as_chunks(self, pieces: np.ndarray) -> list[str]:
         if self.kind == "word":
-            return piece.lower() if piece.isascii() else piece
-        if piece[:1] == _START:
-            return piece[1:]
-        return piece if piece[:1] == "\n" else " " + piece
+            return [p.lower() if p.isascii() else p for p in pieces]
+        return [p if (first := p[:1]) == "\n" else p[1:] if first == _START else " " + p for p in pieces]
+
+    @staticmethod
+    def _number(c: str, number: dict[str, int], keys: list[str]) -> int:
+        if (n := number.setdefault(c, len(keys))) == len(keys):
+            keys.append(c)
+        return n
 
 
 def _spread(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The positions begin, begin + 1, … of each run, one run after the other."""
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
-    return np.repeat(begins - (ends - lengths), lengths) + np.arange(total)
+    kind = np.int32 if total < 1 << 30 and (not len(begins) or begins.max() < 1 << 30) else np.int64
+    at = np.repeat((begins - (ends - lengths)).astype(kind), lengths)
+    at += np.arange(total, dtype=kind)
+    return at
 
 
 _CODERS: dict[tuple[str, str], ChunkCoder] = {}

@@ -33,8 +33,7 @@ def encode_decode(docs: DataFrame, model: str, key: str = "doc_id", text: str =
         code = coder("piece", model)
         for part in slices(batches, "text"):
             ids, begins = code.encode(part.column("text"))
-            each = [ids[b:e].tolist() for b, e in zip(begins[:-1], begins[1:], strict=True)]
-            decoded = code.model.decode(each, num_threads=1) if each else []
+            decoded = [code.model.decode(ids[b:e].tolist()) for b, e in zip(begins[:-1], begins[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [part.column("key"), lists(ids, begins), pa.array(decoded, pa.string())],
                 names=["key", "ids", "decoded"],
