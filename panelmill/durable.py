@@ -62,6 +62,17 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in system.listStatus(target) if s.isDirectory())
 
 
+def partition_folders(spark: SparkSession, path: str, depth: int) -> set[str]:
+    """Relative paths of the partition folders so many levels below a table's folder."""
+    found = {""}
+    for _ in range(depth):
+        found = {
+            f"{parent}/{name}" for parent in found
+            for name in subfolders(spark, f"{path.rstrip('/')}{parent}") if "=" in name
+        }
+    return {f.lstrip("/") for f in found}
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Delete a file or folder that this package wrote itself."""
     system, target = _file_system(spark, path)

@@ -2,15 +2,30 @@
 
 from __future__ import annotations
 
-import uuid
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from pyspark.sql import DataFrame, SparkSession
-
-from panelmill.durable import shared_folder
 from panelmill.operators import enrich
-from panelmill.sinks.files import write_processed
+from panelmill.sinks.files import finish_replace, write_processed
 from panelmill.sources.master import MasterSource, read_master
-from panelmill.sources.raw import SOURCE_PATH, read_raw
+from panelmill.sources.raw import SOURCE_PATH, accepted, read_lines, rejected
+
+
+def stage_of(processed: str) -> str:
+    """Where a replacing load keeps its merged months: beside the table, so that a later run finds them."""
+    return f"{processed.rstrip('/')}_stage"
+
+
+def rejects_of(processed: str) -> str:
+    return f"{processed.rstrip('/')}_rejects"
+
+
+def write_rejects(lines: DataFrame, processed: str) -> int:
+    """Append the lines that do not parse to the rejects beside the table; how many there were."""
+    counts = Observation()
+    bad = rejected(lines).observe(counts, F.count(F.lit(1)).alias("rejected"))
+    bad.write.mode("append").json(rejects_of(processed))
+    return counts.get["rejected"]
 
 
 def load_batch(
@@ -18,13 +33,17 @@ def load_batch(
     raw: str,
     processed: str,
     master: MasterSource | DataFrame | None = None,
-    layout: str = "full",
+    layout: str = "compact",
     mode: str = "append",
 ) -> dict[str, int]:
     """Read all raw files below a folder, or one file, and store them.
 
-    Returns the rows and (approximate) entities written, counted by the write.
+    Returns the rows and (approximate) entities written, counted by the write,
+    and the lines rejected, which go to a folder beside the table. A replacing
+    load that was cut off while it moved its months is finished first.
     """
-    bars = enrich(read_raw(spark, raw), read_master(spark, master), source_path=SOURCE_PATH)
-    staging = f"{shared_folder(spark)}/load-{uuid.uuid4().hex}" if mode == "replace" else None
-    return dict(write_processed(bars, processed, layout, mode, staging).get)
+    finish_replace(spark, processed, stage_of(processed))
+    lines = read_lines(spark, raw)
+    bars = enrich(accepted(lines), read_master(spark, master), source_path=SOURCE_PATH)
+    written = write_processed(bars, processed, layout, mode, stage_of(processed)).get
+    return {**written, "rejected": write_rejects(lines, processed)}

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from panelmill.durable import drop_folder, file_exists
+from panelmill.durable import drop_folder, file_exists, partition_folders, subfolders
 from panelmill.operators.rows import dedupe_bars
 from panelmill.schemas import BARS, PROCESSED_BARS, PanelSpec
 
@@ -51,7 +51,7 @@ def _balanced(df: DataFrame, keys: Sequence[str], within: Sequence[str] = ()) ->
 def write_processed(
     bars: DataFrame,
     path: str,
-    layout: str = "full",
+    layout: str = "compact",
     mode: str = "append",
     staging: str | None = None,
 ) -> Observation:
@@ -76,9 +76,34 @@ def write_processed(
     _write_partitions(
         _counted(rows, counts), path, keys, "overwrite" if mode == "replace" else "append"
     )
+    if mode == "replace":
+        _drop_days_of_former_groups(rows, path)
     return counts
 
 
+def _drop_days_of_former_groups(rows: DataFrame, path: str) -> None:
+    """In the full layout, take away a written day's folder under any other group of its ticker.
+
+    Only tickers with folders under several groups are looked at, which are few.
+    """
+    spark = rows.sparkSession
+    at: dict[str, list[str]] = {}
+    for group in subfolders(spark, path):
+        for ticker in subfolders(spark, f"{path}/{group}"):
+            at.setdefault(ticker, []).append(group)
+    plain = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    value = lambda folder: plain(folder.partition("=")[2])
+    moved = {value(t): t for t, groups in at.items() if len(groups) > 1 and "=" in t}
+    if not moved:
+        return
+    days = rows.where(F.col("ticker").isin(list(moved)) & F.col("date").isNotNull())
+    for d in days.select("sector", "ticker", "year", "month", "day").distinct().collect():
+        folder = moved[d["ticker"]]
+        for group in at[folder]:
+            if value(group) != d["sector"]:
+                drop_folder(spark, f"{path}/{group}/{folder}/year={d['year']}/month={d['month']}/day={d['day']}")
+
+
 def _counted(rows: DataFrame, counts: Observation) -> DataFrame:
     return rows.observe(
         counts, F.count(F.lit(1)).alias("rows"),
@@ -93,11 +118,11 @@ def replace_bars(rows: DataFrame, path: str, staging: str, counts: Observation)
     its group; other months are not read. The merged folders are first written
     to ``staging``, then moved over. If that second step is interrupted,
     calling again with the same ``staging`` finishes it without reading the
-    half-replaced table. A folder whose last row moved to another group keeps
-    its old copy, which ``read_bars`` outranks.
+    half-replaced table; the counts are then those of the staged rows. A folder
+    whose last row moved to another group is deleted at the end. Rows without a
+    date are a month of their own.
     """
     spark = rows.sparkSession
-    keys = LAYOUTS["compact"]
     if not file_exists(spark, f"{staging}/_SUCCESS"):
         merged = _counted(rows, counts)
         if file_exists(spark, path):
@@ -105,13 +130,30 @@ def replace_bars(rows: DataFrame, path: str, staging: str, counts: Observation)
             # of the stored bars is pruned to them.
             month = F.concat(F.col("year").cast("string"), F.col("month"))
             touched = [r[0] for r in rows.select(month).distinct().collect()]
+            affected = month.isin([m for m in touched if m is not None])
+            if None in touched:
+                affected = affected | month.isNull()
             stored = spark.read.schema(PROCESSED_BARS).parquet(path)
-            kept = stored.where(month.isin(touched)).select(*rows.columns)
-            merged = dedupe_bars(kept.unionByName(merged))
-        _write_partitions(merged, staging, keys, "overwrite", dynamic=False)
+            merged = dedupe_bars(stored.where(affected).select(*rows.columns).unionByName(merged))
+        _write_partitions(merged, staging, LAYOUTS["compact"], "overwrite", dynamic=False)
+        counts = None
+    finish_replace(spark, path, staging, counts)
+
+
+def finish_replace(spark: SparkSession, path: str, staging: str, counts: Observation | None = None) -> bool:
+    """Move complete staged months over the table; False if there is no complete stage."""
+    if not file_exists(spark, f"{staging}/_SUCCESS"):
+        return False
+    keys = LAYOUTS["compact"]
     staged = spark.read.schema(PROCESSED_BARS).parquet(staging)
-    _write_partitions(staged, path, keys, "overwrite")
+    _write_partitions(staged if counts is None else _counted(staged, counts), path, keys, "overwrite")
+    new = partition_folders(spark, staging, len(keys))
+    months = {folder.split("/", 1)[1] for folder in new}
+    for folder in partition_folders(spark, path, len(keys)) - new:
+        if folder.split("/", 1)[1] in months:
+            drop_folder(spark, f"{path}/{folder}")
     drop_folder(spark, staging)
+    return True
 
 
 def _write_partitions(

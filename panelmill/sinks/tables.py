@@ -23,7 +23,7 @@ def _quoted(name: str) -> str:
 
 
 def register_partitioned(
-    spark: SparkSession, name: str, path: str, layout: str = "full", evolve: bool = False
+    spark: SparkSession, name: str, path: str, layout: str = "compact", evolve: bool = False
 ) -> list[str]:
     """Declare stored bars as a table and pick up its partitions.
 
@@ -91,9 +91,7 @@ def publish(
 
     Readers see the old rows until the new ones are complete, and a failed
     build leaves the table as it was. Returns the new folder. The last ``keep``
-    versions stay, for readers still using the previous one. A table in (year,
-    month) folders is declared anew, since its partitions carry their own
-    locations.
+    versions stay, for readers still using the previous one.
     """
     spark = view.sparkSession
     path = _new_version(root, name)
@@ -101,26 +99,41 @@ def publish(
     point_table(spark, name, path, ["year", "month"] if by_month else [])
     home = f"{root.rstrip('/')}/{name}"
     for old in [v for v in subfolders(spark, home) if v.startswith("v")][:-keep]:
+        spark.sql(f"DROP TABLE IF EXISTS {_quoted(f'{name}_' + old.replace('-', '_'))}")
         drop_folder(spark, f"{home}/{old}")
     return path
 
 
 def point_table(spark: SparkSession, name: str, path: str, keys: Sequence[str] = ()) -> None:
-    table = _quoted(name)
-    if spark.catalog.tableExists(name) and not keys:
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-        spark.catalog.refreshTable(name)
-        return
+    """Make a name show the files of a folder, in one step for its readers.
+
+    A table of the same columns is pointed at the folder. With other columns,
+    and for partitioned files, whose partitions carry locations of their own,
+    the files are declared as a table of their own and the name becomes a view
+    of it, replaced in one step. Only a name that still is a table of other
+    columns is dropped before.
+    """
     stored = spark.read.parquet(path)
-    if keys:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
     types = {f.name: f.dataType.simpleString() for f in stored.schema}
     types |= {"month": "string"} if "month" in keys else {}
+    exists = spark.catalog.tableExists(name)
+    is_table = exists and spark.catalog.getTable(name).tableType != "VIEW"
+    same = is_table and not keys and {f.name: f.dataType.simpleString() for f in spark.table(name).schema} == types
+    if same:
+        spark.sql(f"ALTER TABLE {_quoted(name)} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(name)
+        return
     columns = ", ".join(f"`{c}` {t}" for c, t in types.items())
     by = f"PARTITIONED BY ({', '.join(keys)})" if keys else ""
-    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {by} LOCATION '{path}'")
+    target = f"{name}_{path.rstrip('/').rsplit('/', 1)[1].replace('-', '_')}" if keys or exists else name
+    spark.sql(f"CREATE TABLE {_quoted(target)} ({columns}) USING parquet {by} LOCATION '{path}'")
     if keys:
-        spark.sql(f"MSCK REPAIR TABLE {table}")
+        spark.sql(f"MSCK REPAIR TABLE {_quoted(target)}")
+    if target != name:
+        if is_table:
+            spark.sql(f"DROP TABLE {_quoted(name)}")
+        chosen = ", ".join(f"`{c}`" for c in types)
+        spark.sql(f"CREATE OR REPLACE VIEW {_quoted(name)} AS SELECT {chosen} FROM {_quoted(target)}")
 
 
 def write_bucketed(

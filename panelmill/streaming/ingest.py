@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from panelmill.durable import drop_folder, file_exists, leave_mark
 from panelmill.operators import enrich
+from panelmill.plans.load import write_rejects
 from panelmill.plans.refresh import refresh_all
 from panelmill.plans.registry import DEFAULT_VIEWS
 from panelmill.sinks.files import write_processed
 from panelmill.sources.master import MasterSource, read_master
-from panelmill.sources.raw import SOURCE_PATH, stream_raw
+from panelmill.sources.raw import SOURCE_PATH, accepted, stream_raw
 
 
 def run_stream(
@@ -40,10 +41,11 @@ def run_stream(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        bars = enrich(batch, read_master(session, master), source_path=SOURCE_PATH)
+        bars = enrich(accepted(batch), read_master(session, master), source_path=SOURCE_PATH)
         staging = f"{checkpoint.rstrip('/')}/staging/{batch_id}"
         leave_mark(session, pending)
         write_processed(bars, processed, layout, "replace", staging)
+        write_rejects(batch, processed)
 
     query = (
         stream_raw(spark, raw, max_files)

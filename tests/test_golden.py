@@ -205,3 +205,13 @@ def test_text_helpers(spark):
         clean_group(F.lit("Real  Estate")), clean_group(F.lit(None).cast("string")),
         decode_key(F.lit("raw/A+B/x%20y%2Bz.csv"))).first()
     assert tuple(row) == ("Real__Estate", "Unknown", "raw/A B/x y+z.csv")
+
+
+def test_constant_price_has_no_trend(spark):
+    from panelmill.plans import build
+
+    rows = [(g, f"{g}{i}", dt.date(2024, 1, 1) + dt.timedelta(days=d), 0.1, 5)
+            for g in "ab" for i in range(3) for d in range(40)]
+    flat = spark.createDataFrame(rows, "sector string, ticker string, date date, close double, volume bigint")
+    got = build("cross_sector_comparison", flat).collect()
+    assert {r.trend for r in got} == {"Neutral"} and {r.performance_rank for r in got} == {1}

@@ -216,6 +216,78 @@ def test_changed_sector_reads_as_one_row(spark, bars, tmp_path):
     assert rows(got, "sector") == [("Media",)]
 
 
+@pytest.mark.parametrize("layout", ["compact", "full"])
+@pytest.mark.parametrize("before,after", [("Automotive", "Technology"), ("Technology", "Automotive")])
+def test_replay_after_a_sector_change(spark, bars, tmp_path, layout, before, after):
+    """The same file loaded again under another sector leaves one row, also in the files."""
+    path = str(tmp_path / "bars")
+    one = bars.where("ticker = 'BBB'")
+    for i, sector in enumerate((before, after)):
+        copy = one.withColumns({
+            "sector": F.lit(sector), "ingested_at": F.lit(f"2024-03-0{i + 1}").cast("timestamp")})
+        write_processed(copy, path, layout, "replace", str(tmp_path / f"stage{i}"))
+    for unique in (False, True):
+        assert rows(read_bars(spark, path, unique=unique), "ticker", "sector") == [("BBB", after)]
+    register_partitioned(spark, f"replayed_{layout}_{after}", path, layout)
+    assert rows(spark.table(f"replayed_{layout}_{after}"), "sector") == [(after,)]
+
+
+def test_undated_rows_survive_a_merge(spark, bars, tmp_path):
+    path = str(tmp_path / "bars")
+    for i, close in enumerate((1.0, 2.0, 2.0)):
+        undated = bars.where("ticker = 'BBB'").withColumns({
+            "date": F.lit(None).cast("date"), "year": F.lit(None).cast("int"), "month": F.lit(None).cast("string"),
+            "day": F.lit(None).cast("string"), "close": F.lit(close)})
+        write_processed(undated, path, "compact", "replace", str(tmp_path / f"stage{i}"))
+    assert rows(read_bars(spark, path), "close") == [(1.0,), (2.0,)]
+
+
+def test_cut_off_batch_load_is_finished(spark, raw, tmp_path, monkeypatch):
+    from panelmill.plans.load import load_batch
+
+    path = str(tmp_path / "bars")
+    real = files._write_partitions
+
+    def stop_at_move(df, target, *args, **kwargs):
+        if target == path:
+            raise RuntimeError("cut off")
+        real(df, target, *args, **kwargs)
+
+    monkeypatch.setattr(files, "_write_partitions", stop_at_move)
+    with pytest.raises(RuntimeError):
+        load_batch(spark, str(raw), path, mode="replace")
+    monkeypatch.setattr(files, "_write_partitions", real)
+    land(tmp_path / "later", "D.csv", "DDD,2022-01-03,1,2,0.5,1.5,1,2024-01-06T00:00:00")
+    assert load_batch(spark, str(tmp_path / "later"), path, mode="replace")["rows"] == 1
+    assert rows(read_bars(spark, path), "ticker") == [("AAA",), ("BBB",), ("CCC",), ("DDD",)]
+
+
+def test_bad_lines_and_awkward_names(spark, tmp_path):
+    from panelmill.plans.load import load_batch, rejects_of
+
+    root = tmp_path / "raw"
+    land(root, "^N225 +x%.csv",
+         "AAA,notadate,1,2,0.5,1.5,3,2024-01-06T00:00:00",
+         "AAA,2024-01-04,1,2,0.5,1.5,10.0,2024-01-06T00:00:00",
+         "AAA,2024-01-05,1,2,0.5,1.5,3,2024-01-06T00:00:00")
+    path = str(tmp_path / "bars")
+    counts = load_batch(spark, str(root), path)
+    assert counts["rows"] == 1 and counts["rejected"] == 2
+    assert rows(read_bars(spark, path), "source_file") == [("^N225 +x%.csv",)]
+    bad = spark.read.json(rejects_of(path))
+    assert rows(bad, "source_file") == [("^N225 +x%.csv",)] * 2
+    assert any("notadate" in r[0] for r in rows(bad, "line"))
+
+
+def test_publish_with_other_columns(spark, bars, tmp_path):
+    root = str(tmp_path / "curated")
+    publish(bars.select("ticker", F.lit(1).alias("a")), "shifting", root)
+    publish(bars.select("ticker", F.lit(2).alias("b")), "shifting", root)
+    assert rows(spark.table("shifting"), "b") == [(2,)] * 3
+    publish(bars.select("ticker", F.lit(3).alias("b")), "shifting", root)
+    assert spark.table("shifting").columns == ["ticker", "b"] and rows(spark.table("shifting"), "b") == [(3,)] * 3
+
+
 def test_raw_sink_reads_back(spark, raw, tmp_path):
     df = read_raw(spark, str(raw)).drop(SOURCE_PATH)
     write_raw(df, str(tmp_path / "again"))
@@ -228,7 +300,7 @@ def test_partition_filters_reach_the_scan(spark, bars, tmp_path):
     from panelmill.plans import lookups
 
     path = str(tmp_path / "bars")
-    write_processed(bars, path)
+    write_processed(bars, path, "full")
     view = lookups.sector_view(read_bars(spark, path, unique=False), "Tech", 2024)
     plan = view._jdf.queryExecution().executedPlan().toString()
     filters = plan[plan.index("PartitionFilters"):].split("\n")[0]
@@ -265,11 +337,11 @@ def test_curated_sinks(spark, bars, tmp_path):
 
 def test_registered_table_sees_new_partitions(spark, bars, tmp_path):
     path = str(tmp_path / "bars")
-    write_processed(bars.where("ticker <> 'CCC'"), path)
-    register_partitioned(spark, "reg_bars", path)
+    write_processed(bars.where("ticker <> 'CCC'"), path, "full")
+    register_partitioned(spark, "reg_bars", path, "full")
     assert spark.table("reg_bars").count() == 2
-    write_processed(bars.where("ticker = 'CCC'"), path)
-    register_partitioned(spark, "reg_bars", path)
+    write_processed(bars.where("ticker = 'CCC'"), path, "full")
+    register_partitioned(spark, "reg_bars", path, "full")
     got = spark.sql("SELECT ticker FROM reg_bars WHERE year = 2023 AND month = '11'")
     assert rows(got, "ticker") == [("CCC",)]
 
@@ -315,19 +387,19 @@ def test_master_upsert_twice(spark, tmp_path):
 
 def test_table_takes_up_new_columns(spark, bars, tmp_path):
     path = str(tmp_path / "bars")
-    write_processed(bars, path)
-    assert register_partitioned(spark, "evolving", path, evolve=True) == []
+    write_processed(bars, path, "full")
+    assert register_partitioned(spark, "evolving", path, "full", evolve=True) == []
     (bars.where("ticker = 'AAA'").withColumns({"adjusted": F.lit(1.25), "ticker": F.lit("NEW")})
      .write.mode("append").partitionBy("sector", "ticker", "year", "month", "day").parquet(path))
-    assert register_partitioned(spark, "evolving", path, evolve=True) == ["adjusted"]
+    assert register_partitioned(spark, "evolving", path, "full", evolve=True) == ["adjusted"]
     assert rows(spark.table("evolving"), "ticker", "adjusted") == [
         ("AAA", None), ("BBB", None), ("CCC", None), ("NEW", 1.25)]
 
 
 def test_row_views_prune_and_replace(spark, bars, tmp_path):
     path = str(tmp_path / "bars")
-    write_processed(bars, path)
-    register_partitioned(spark, "stock_data", path)
+    write_processed(bars, path, "full")
+    register_partitioned(spark, "stock_data", path, "full")
     create_row_views(spark, "stock_data", 2030, "Tech")
     enriched, chosen = create_row_views(spark, "stock_data", 2024, "Tech")
     assert rows(spark.table(enriched), "ticker") == [("AAA",), ("BBB",)]
@@ -339,7 +411,7 @@ def test_row_views_prune_and_replace(spark, bars, tmp_path):
 
 def test_bucket_count_follows_the_stored_size(spark, bars, tmp_path):
     path = str(tmp_path / "bars")
-    write_processed(bars, path)
+    write_processed(bars, path, "full")
     assert bucket_count(spark, path) == 8
     assert bucket_count(spark, path, target=200) > 8
 
