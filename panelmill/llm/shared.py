@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; only a local session may go without the setting."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local["):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = spark.sparkContext.getCheckpointDir() or "file://" + tempfile.mkdtemp(prefix="panelmill-llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="panelmill-llm-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 
