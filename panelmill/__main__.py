@@ -31,6 +31,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     for job in (load, stream, refresh):
         job.add_argument("--processed", required=True)
     load.add_argument("--mode", choices=["append", "replace"], default="append")
+    load.add_argument("--day", help="take the bars of this date only; yesterday for the day before today")
+    load.add_argument("--require-master", action="store_true", help="fail without a master")
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--curated")
     stream.add_argument("--max-files", type=int)
@@ -54,7 +56,8 @@ def main(argv: list[str] | None = None) -> int:
     spark = session(f"panelmill-{args.job}", args.shuffled_bytes)
     reports = []
     if args.job == "load":
-        print(load_batch(spark, args.raw, args.processed, _master(args), args.layout, args.mode))
+        print(load_batch(spark, args.raw, args.processed, _master(args), args.layout, args.mode,
+                         args.require_master, args.day))
     elif args.job == "stream":
         reports = run_stream(
             spark, args.raw, args.processed, args.checkpoint, _master(args), args.curated,

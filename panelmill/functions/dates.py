@@ -20,3 +20,8 @@ def date_parts(df: DataFrame, date: str = "date") -> DataFrame:
 
 def month_start(date: str) -> Column:
     return F.trunc(date, "month")
+
+
+def previous_day() -> Column:
+    """The date before the session's current one."""
+    return F.date_sub(F.current_date(), 1)

@@ -447,3 +447,22 @@ def test_hot_ticker_is_split_when_the_master_is_large(spark, tmp_path, master):
 
 def test_preview(spark, bars):
     assert len(bars.limit(2).collect()) == 2
+
+
+def test_load_of_one_day_and_required_master(spark, raw, tmp_path):
+    from panelmill.plans.load import load_batch
+
+    path = str(tmp_path / "bars")
+    assert load_batch(spark, str(raw), path, day="2024-01-05")["rows"] == 1
+    assert load_batch(spark, str(raw), str(tmp_path / "none"), day="yesterday")["rows"] == 0
+    with pytest.raises(Exception):  # noqa: B017
+        load_batch(spark, str(raw), path, SnapshotMaster(str(tmp_path / "missing")), require_master=True)
+
+
+def test_upsert_adds_new_columns(spark):
+    from panelmill.operators import upsert_by_key
+
+    old = spark.createDataFrame([("a", 1), ("b", 2)], "k string, x int")
+    new = spark.createDataFrame([("b", 3, "n"), ("c", 4, "m")], "k string, x int, y string")
+    got = upsert_by_key(old, new, "k", F.current_timestamp())
+    assert rows(got, "k", "x", "y") == [("a", 1, None), ("b", 3, "n"), ("c", 4, "m")]
