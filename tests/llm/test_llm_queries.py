@@ -112,17 +112,79 @@ def test_classifier_on_held_out_labels(spark):
     assert sum(good) > 0.97 * len(good) and sum(bad) < 0.2 * len(bad) and sum(toxic) < 0.5 * len(toxic)
 
 
-def test_pipeline(spark, small):
-    import corpus_pipeline
+def _groups(n, linked):
+    """Smallest number that each of n things reaches over the links."""
+    group = list(range(n))
+    changed = True
+    while changed:
+        changed = False
+        for i in range(n):
+            for j in range(i):
+                if group[i] != group[j] and linked(i, j):
+                    low, high = sorted((group[i], group[j]))
+                    group = [low if g == high else g for g in group]
+                    changed = True
+    return group
+
+
+def _keeps_after_classifier(docs, rated, labels):
+    """The classifier's verdicts from sets of features and a dictionary of weights."""
+    import pyarrow as pa
 
-    docs = spark.read.parquet(f"{small}/documents.parquet")
-    before = {r.doc_id for r in docs.collect()}
-    for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
-        out = stage(spark, docs, small)
-        if number < 4:
-            assert out.columns == docs.columns and out.schema == docs.schema
-        docs = out
-        keys = {r.doc_id for r in out.collect()}
-        assert keys <= before
-        before = keys
-    assert len(before) > 100
+    from panelmill.llm import ordinal
+    from panelmill.llm.contract import KEEP
+
+    model = ordinal.train(rated, labels)
+    weights = dict(zip(model.buckets.tolist(), model.weights.tolist(), strict=True))
+    kept = set()
+    for key, text in docs:
+        _, found = ordinal.Features().of(pa.array([text]))
+        score = sum(weights.get(b, 0.0) for b in set(found.tolist()))
+        if 1 / (1 + np.exp(model.thresholds[-1] - score)) >= KEEP:
+            kept.add(key)
+    return kept
+
+
+def test_pipeline_stage_by_stage(spark, small):
+    """Each stage against plain Python over what the stage before kept."""
+    import corpus_pipeline
+    from compare import sql_rows
+
+    from panelmill.llm.paragraphs import passages, shingles
+    from panelmill.llm.simhash import fingerprint
+
+    documents, labels = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "labels"))
+    names, verdicts = sql_rows(ORACLES["op1_quality_rules"], small)
+    good = {v[names.index("doc_id")] for v in verdicts if v[names.index("kept")]}
+    docs, outs = documents, []
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, small)
+        outs.append([tuple(r) for r in docs.collect()])
+        if len(outs) < 5:
+            assert docs.schema == documents.schema
+            docs = spark.createDataFrame(outs[-1], docs.schema)
+    texts = [{r[0]: r[1] for r in rows} for rows in outs[:4]]
+    assert set(texts[0]) == good
+    assert set(texts[1]) == _keeps_after_classifier(texts[0].items(), documents, labels)
+
+    keys = sorted(texts[1])
+    prints = [fingerprint(texts[1][k]) for k in keys]
+    groups = _groups(len(keys), lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 4)
+    assert set(texts[2]) == {k for k, g, i in zip(keys, groups, range(len(keys)), strict=True) if g == i}
+
+    found = [(k, n, shingles(w, 5)) for k in sorted(texts[2]) for n, w in passages(texts[2][k], 50)]
+    groups = _groups(len(found), lambda i, j: len(found[i][2] & found[j][2]) >= 0.8 * len(found[i][2] | found[j][2]))
+    gone = {found[i][:2] for i, g in enumerate(groups) if g != i}
+    want = {}
+    for k, text in texts[2].items():
+        left = "\n".join(x for n, x in enumerate(text.split("\n")) if (k, n) not in gone)
+        if left.strip() or left == text:
+            want[k] = left
+    assert texts[3] == want
+
+    ids = _ids(WORD, sorted(texts[3].items()))
+    packed = {}
+    for key, start, length, raw, *_ in sorted(outs[4]):
+        assert start == len(packed.get(key, b"")) // 4 and length == len(raw) // 4
+        packed[key] = packed.get(key, b"") + bytes(raw)
+    assert packed == {k: v.tobytes() for k, v in ids.items()}
