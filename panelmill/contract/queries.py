@@ -15,7 +15,7 @@ from panelmill.functions import (
 )
 from panelmill.operators import (
     dedupe_bars, enrich, entity_counts, ingest_report, ingest_totals, latest_per_entity,
-    upsert_by_key, with_group_standing, with_rolling,
+    upsert_by_key, with_group_standing, with_rolling, with_stitched_frames,
 )
 from panelmill.plans import lookups, rankings, summaries
 
@@ -133,13 +133,9 @@ def moving_average(spark, sf):
 
 def rolling_volatility(spark, sf):
     returns = rankings.daily_returns(panels.bars(spark, sf))
-    frames = with_rolling(returns, {
-        "sd20": ("stddev", "daily_return", 20),
-        "sd60": ("stddev", "daily_return", 60),
-        "mean20": ("avg", "daily_return", 20),
-        "mean60": ("avg", "daily_return", 60),
-    })
-    return snapped(frames.select("ticker", "date", "sd20", "sd60", "mean20", "mean60"))
+    frames = with_stitched_frames(returns, "daily_return", "close", 20, 60)
+    names = ("sd20", "sd60", "mean20", "mean60")
+    return snapped(frames.select("ticker", "date", *[F.col(f"_{n}").alias(n) for n in names]))
 
 
 def rolling_drawdown(spark, sf):
