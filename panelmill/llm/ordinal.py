@@ -130,16 +130,22 @@ def fit_ordinal(
     The thresholds are a first one and positive steps, so they stay in order.
     Classes are weighted towards each other by the square root of their sizes.
     """
-    buckets, at, seen = np.unique(bucket, return_inverse=True, return_counts=True)
+    counts = np.zeros((grades, DIMENSIONS))
+    for begin in range(0, len(bucket), 1 << 20):  # in pieces, as wide copies of all pairs would fill the driver
+        part = slice(begin, begin + (1 << 20))
+        of = grade[doc[part]]
+        for g in range(grades):
+            counts[g] += np.bincount(bucket[part][of == g], minlength=DIMENSIONS)
+    seen = counts.sum(axis=0)
     share = np.bincount(grade, minlength=grades) / max(1, len(grade))
-    strange = np.zeros(len(buckets))  # chi-square of the grades of a feature's texts
+    strange = np.zeros(DIMENSIONS)  # chi-square of the grades of a feature's texts
     for g in np.flatnonzero(share):
-        got = np.bincount(at[grade[doc] == g], minlength=len(buckets))
-        strange += (got - seen * share[g]) ** 2 / (seen * share[g])
-    buckets = buckets[(seen >= least_seen) & (strange >= LEAST_STRANGE)]
-    at = np.minimum(np.searchsorted(buckets, bucket), max(0, len(buckets) - 1))
-    kept = buckets[at] == bucket if len(buckets) else np.zeros(len(bucket), bool)
-    doc, at, n = doc[kept], at[kept], len(grade)
+        strange += (counts[g] - seen * share[g]) ** 2 / np.maximum(seen * share[g], 1e-12)
+    buckets = np.flatnonzero((seen >= least_seen) & (strange >= LEAST_STRANGE))
+    number = np.full(DIMENSIONS, -1, np.int32)
+    number[buckets] = np.arange(len(buckets))
+    at = number[bucket]
+    doc, at, n = doc[at >= 0], at[at >= 0], len(grade)
     size = np.bincount(grade, minlength=grades)
     weight = (1 / np.sqrt(np.maximum(size, 1)))[grade]
     weight = weight * n / max(weight.sum(), 1e-12)
@@ -204,8 +210,8 @@ def train(
 
     got = map_batches(rows, run, "grade int, buckets array<int>").limit(2 * fit_rows).toArrow()
     lists = got.column("buckets").combine_chunks()
-    doc = np.repeat(np.arange(len(got)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-    return fit_ordinal(doc, lists.flatten().to_numpy().astype(np.int64), got.column("grade").to_numpy().astype(np.int64), GRADES)
+    doc = np.repeat(np.arange(len(got), dtype=np.int32), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    return fit_ordinal(doc, lists.flatten().to_numpy(), got.column("grade").to_numpy().astype(np.int64), GRADES)
 
 
 def score(
