@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelmill.llm.batches import slices
-from panelmill.llm.shared import map_batches
+from panelmill.llm.shared import map_batches, stored
 
 #: Buckets that features are hashed into.
 DIMENSIONS = 1 << 20
@@ -184,13 +184,31 @@ def grade(quality: Column, toxic: Column) -> Column:
     return F.when(quality == 0, 0).when((quality == 1) & (F.coalesce(toxic, F.lit(0)) == 1), 1).when(quality == 1, 2)
 
 
+def _telling(rows: DataFrame, sizes: dict[int, int]) -> np.ndarray:
+    """Ascending buckets that are frequent enough and whose texts do not have grades as by chance."""
+    total = sum(sizes.values())
+    by = {g: F.sum(F.when(F.col("grade") == g, 1).otherwise(0)).alias(f"n{g}") for g in sizes}
+    if not by:
+        return np.zeros(0, np.int32)
+    counts = rows.select("grade", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("seen"), *by.values()
+    )
+    strange = F.lit(0.0)
+    for g, n in sizes.items():
+        chance = F.col("seen") * (n / total)
+        strange = strange + (F.col(f"n{g}") - chance) * (F.col(f"n{g}") - chance) / chance
+    kept = counts.where((F.col("seen") >= LEAST_SEEN) & (strange >= LEAST_STRANGE)).select("bucket").toArrow()
+    return np.sort(kept.column("bucket").to_numpy())
+
+
 def train(
     docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, key: str = "doc_id", text: str = "text"
 ) -> OrdinalModel:
     """Fit on at most ``fit_rows`` labelled documents, those with the smallest hashes of their keys.
 
     The chosen keys and grades are broadcast (bounded by ``fit_rows``), tasks
-    work out the features, and the feature numbers come to the driver.
+    work out the features and count them by grade, and only features that tell
+    grades apart come to the driver, which fits their weights.
     """
     rated = labels.select(labels[key].alias("key"), grade(labels["quality"], labels["toxic"]).alias("grade"))
     rated = rated.where("key IS NOT NULL AND grade IS NOT NULL").groupBy("key").agg(F.min("grade").alias("grade"))
@@ -208,7 +226,20 @@ def train(
                 names=["grade", "buckets"],
             )
 
-    got = map_batches(rows, run, "grade int, buckets array<int>").limit(2 * fit_rows).toArrow()
+    rows = stored(map_batches(rows, run, "grade int, buckets array<int>"), "rated")
+    sizes = {r["grade"]: r["n"] for r in rows.groupBy("grade").agg(F.count(F.lit(1)).alias("n")).collect()}
+    known = _telling(rows, sizes)
+
+    def only_known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("buckets")
+            flat = lists.flatten().to_numpy()
+            stays = np.isin(flat, known)
+            ends = np.concatenate([[0], np.cumsum(stays)])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+            few = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat[stays]))
+            yield pa.RecordBatch.from_arrays([batch.column("grade"), few], names=["grade", "buckets"])
+
+    got = map_batches(rows, only_known, "grade int, buckets array<int>").limit(2 * fit_rows).toArrow()
     lists = got.column("buckets").combine_chunks()
     doc = np.repeat(np.arange(len(got), dtype=np.int32), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
     return fit_ordinal(doc, lists.flatten().to_numpy(), got.column("grade").to_numpy().astype(np.int64), GRADES)
