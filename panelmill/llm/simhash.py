@@ -110,41 +110,32 @@ def _above(counter: np.ndarray, radius: int) -> np.ndarray:
 def forest(prints: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """Links that join the same fingerprints as all pairs within the radius: (fingerprint, another).
 
-    Each fingerprint is asked once, against those that none has reached yet, so a
-    bucket of near copies takes about one comparison for each of them, and a
-    bucket without links all pairs.
+    Each fingerprint is asked once, against all that were not asked before, but for those
+    that wait and are known to be joined with the askers. So a bucket of near copies takes
+    about one comparison for each of them, and a bucket without links all pairs.
     """
     links: list[tuple[int, int]] = []
+    group = np.arange(len(prints))  # equal for fingerprints that the links join
     left = np.arange(len(prints))  # not reached yet
-    queue: list[int] = []
-    while len(left) > 0 or queue:
-        asking = np.array(queue[:_AT_ONCE], np.int64)
-        queue = queue[_AT_ONCE:]
-        if len(asking) < _AT_ONCE and not queue:
-            more = _AT_ONCE - len(asking)
-            asking, left = np.concatenate([asking, left[:more]]), left[more:]
-        others = np.concatenate([asking, left])
+    queue = np.zeros(0, np.int64)  # reached, not asked yet
+    while len(left) > 0 or len(queue) > 0:
+        asking, queue = queue[:_AT_ONCE], queue[_AT_ONCE:]
+        more = _AT_ONCE - len(asking)
+        asking, left = np.concatenate([asking, left[:more]]), left[more:]
+        same = group[asking] == group[asking[0]]
+        waiting = queue[group[queue] != group[asking[0]]] if same.all() else queue
+        others = np.concatenate([asking, waiting, left])
         if len(others) > 1:
             near = BitPlanes(prints[others]).within(prints[asking], radius)
-            first = near.argmax(axis=0)  # the first that reaches a fingerprint; itself at the latest
-            reached = near.any(axis=0)
-            for j in np.flatnonzero(reached[len(asking):]) + len(asking):
-                links.append((int(prints[others[j]]), int(prints[asking[first[j]]])))
-            # the askers that a fingerprint joins: one link each time that two of their sets meet
-            sets = list(range(len(asking)))
-            several = np.flatnonzero(near.sum(axis=0) > 1)
-            for j in several:
-                if len(set(sets)) == 1:
-                    break
-                one, *rest = np.flatnonzero(near[:, j]).tolist()
-                for i in rest:
-                    if sets[i] != sets[one]:
-                        links.append((int(prints[others[j]]), int(prints[asking[i]])))
-                        links.append((int(prints[others[j]]), int(prints[asking[one]])))
-                        sets = [sets[one] if x == sets[i] else x for x in sets]
-            hit = reached[len(asking):]
-            queue.extend(left[hit].tolist())
-            left = left[~hit]
+            for i in np.flatnonzero(near.sum(axis=1) > 1):
+                hit = others[near[i]]
+                groups, firsts = np.unique(group[hit], return_index=True)
+                new = groups != group[asking[i]]
+                if new.any():
+                    links += [(int(prints[j]), int(prints[asking[i]])) for j in hit[firsts[new]]]
+                    group[np.isin(group, groups[new])] = group[asking[i]]
+            reached = near[:, len(asking) + len(waiting):].any(axis=0)
+            queue, left = np.concatenate([queue, left[reached]]), left[~reached]
     return links
 
 

@@ -118,6 +118,34 @@ def test_simhash_tiles(spark):
     assert all((a ^ b).bit_count() <= 4 for a, b in edges)
 
 
+def test_simhash_forest_tests_waiting_fingerprints():
+    """One large bucket with two centres: links between what different askers have reached."""
+    import numpy as np
+
+    for seed in range(40):
+        draw = random.Random(seed)
+        a = draw.getrandbits(64)
+        b = a ^ 0xFF
+        prints = {a, b, a ^ 0b111, a ^ 0b1111111}  # only the last two link the centres
+        while len(prints) < 300:
+            high = sum(1 << bit for bit in draw.sample(range(8, 64), draw.randint(1, 3)))
+            prints.add(draw.choice([a, b]) ^ high)
+        prints = sorted(prints)
+        draw.shuffle(prints)
+        prints = np.array(prints, np.uint64)
+        apart = np.bitwise_count(prints[:, None] ^ prints[None, :])
+        groups = []
+        number = {int(p): i for i, p in enumerate(prints)}
+        found = simhash.forest(prints, 4)
+        for pairs in (np.argwhere(apart <= 4).tolist(), [(number[x], number[y]) for x, y in found]):
+            group = np.arange(len(prints))
+            for i, j in pairs:
+                group[group == max(group[i], group[j])] = min(group[i], group[j])
+            groups.append(group.tolist())
+        assert groups[0] == groups[1]
+        assert all((x ^ y).bit_count() <= 4 for x, y in found)
+
+
 def test_passages(docs, nothing):
     got = paragraphs.repeated_passages(docs).collect()
     assert {(r.doc_id, r.paragraph, r.removed) for r in got} == {(1, 0, False), (2, 0, True), (9, 1, True)}
