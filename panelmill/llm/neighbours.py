@@ -147,11 +147,9 @@ def probes_needed(router: Router, unit: np.ndarray, links: np.ndarray, recall: f
 
 
 def learn(
-    vectors: DataFrame, parts: int | None = None, fit_rows: int = FIT_ROWS, recall: float = RECALL
-) -> tuple[Router, int, int]:
-    """The router, the number of probes and of dimensions, from at most ``fit_rows`` distinct vectors."""
-    rows, dimensions = vectors.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
-    dimensions = dimensions or 1
+    vectors: DataFrame, rows: int, dimensions: int, parts: int | None = None, fit_rows: int = FIT_ROWS, recall: float = RECALL
+) -> tuple[Router, int]:
+    """The router for the ``rows`` vectors of this length, and the number of probes, from at most ``fit_rows`` of them."""
     # about as many as asked for pass by their hash, and the surplus is cut off in order
     least = F.lit(min(2**63 - 1, int(-(2**63) + 2**64 * (1.1 * fit_rows + 100) / max(1, rows))))
     sample = vectors.select("vector").where((F.size("vector") == dimensions) & (F.xxhash64("vector") <= least))
@@ -160,10 +158,23 @@ def learn(
     unit = _unit(_matrix(sample, dimensions)).astype(np.float32) if len(sample) else np.zeros((0, dimensions), np.float32)
     parts = max(1, min(parts, len(unit) // 8))
     if len(unit) < 2:
-        return Router(np.zeros((dimensions + 1, 1))), 1, dimensions
+        return Router(np.zeros((dimensions + 1, 1))), 1
     links = nearest_links(unit, LINKS)
     router = learn_router(unit, links, balanced_parts(unit, links, parts), parts)
-    return router, probes_needed(router, unit, links, recall), dimensions
+    return router, probes_needed(router, unit, links, recall)
+
+
+def learn_each(
+    vectors: DataFrame, parts: int | None = None, fit_rows: int = FIT_ROWS, recall: float = RECALL
+) -> dict[int, tuple[Router, int]]:
+    """A router and its probes for the most frequent length of vectors and each with more than ``fit_rows``.
+
+    Vectors of any other length are few enough to be one part, which is searched whole.
+    """
+    counts = vectors.groupBy(F.size("vector").alias("dimensions")).agg(F.count(F.lit(1)).alias("n"))
+    first = counts.orderBy(F.desc("n"), "dimensions").limit(1)
+    lengths = {r.dimensions: r.n for r in counts.where(F.col("n") > fit_rows).unionByName(first).collect()}
+    return {d: learn(vectors, n, d, parts, fit_rows, recall) for d, n in sorted(lengths.items())}
 
 
 def search(
@@ -175,7 +186,8 @@ def search(
     The nearest ``k`` of what the probed parts hold, the row with the query's own key left
     out, by largest cosine in double precision, ties by smaller key. Rows whose
     vector is null, zero, or has null or non-finite components take no part, nor
-    do null keys; vectors whose length is not the table's largest meet nothing.
+    do null keys. Vectors of different lengths have no cosine: each length is
+    indexed apart, and a query meets the vectors of its own length.
 
     Equal vectors are one entry of the index with their k + 1 smallest keys,
     which is all that a ranking can need, and equal queries are asked once;
@@ -191,27 +203,33 @@ def search(
     entries = by_task.agg(F.first("vector").alias("vector"), smallest(F.collect_list("key")).alias("keys"))
     entries = entries.groupBy("entry").agg(F.first("vector").alias("vector"), smallest(F.flatten(F.collect_list("keys"))).alias("keys"))
     entries = stored(entries, "entries")
-    router, probes, dimensions = learn(entries, parts, fit_rows, recall)
-    asked = usable(queries, key, vector).where(F.size("vector") == dimensions)
-    asked = stored(asked.withColumn("query", F.xxhash64("vector")), "queries")
+    routers = learn_each(entries, parts, fit_rows, recall)
+    asked = stored(usable(queries, key, vector).withColumn("query", F.xxhash64("vector")), "queries")
 
-    def route(many: int):
+    def route(probing: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if len(batch):
-                    best = router.best(_unit(_matrix(batch.column("vector"), dimensions)), many)
+            for mixed in batches:
+                lengths = pc.list_value_length(mixed.column("vector"))
+                for dimensions in pc.unique(lengths).to_pylist():
+                    batch = mixed.filter(pc.equal(lengths, dimensions))
+                    best = np.zeros((len(batch), 1), np.int64)
+                    if dimensions in routers:
+                        router, probes = routers[dimensions]
+                        best = router.best(_unit(_matrix(batch.column("vector"), dimensions)), probes if probing else 1)
                     at = pa.array(np.repeat(np.arange(len(batch)), best.shape[1]))
                     rest = pa.RecordBatch.from_arrays([c.take(at) for c in batch.columns], names=batch.schema.names)
-                    yield rest.append_column("part", pa.array(best.ravel().astype(np.int32)))
+                    yield rest.append_column("part", pa.array((dimensions << 32) + best.ravel()))
 
         return run
 
-    fitting = entries.where(F.size("vector") == dimensions).select("entry", "vector", "keys")
-    filed = map_batches(fitting, route(1), "entry bigint, vector array<double>, keys array<bigint>, part int")
+    filed = map_batches(
+        entries.select("entry", "vector", "keys"), route(probing=False),
+        "entry bigint, vector array<double>, keys array<bigint>, part bigint",
+    )
     filed = stored(filed, "filed")
     blocks = filed.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
     distinct = asked.groupBy("query").agg(F.first("vector").alias("vector"))
-    visits = map_batches(distinct, route(probes), "query bigint, vector array<double>, part int")
+    visits = map_batches(distinct, route(probing=True), "query bigint, vector array<double>, part bigint")
     filed = look_up(filed, blocks, "part").select(
         "part", F.pmod("entry", "blocks").cast("int").alias("block"), "entry", "vector", "keys"
     )
@@ -226,22 +244,16 @@ def search(
         def ask() -> pa.RecordBatch:
             stored_, asks = pa.Table.from_batches(held), pa.Table.from_batches(waiting)
             waiting.clear()
+            dimensions = place[0] >> 32
             have = _matrix(stored_.column("vector").combine_chunks(), dimensions)
             want = _matrix(asks.column("vector").combine_chunks(), dimensions)
-            near = _unit(want) @ _unit(have).T
-            most = min(k + 1, len(have))
-            # some more than needed: the product may order near ties differently than the exact score
-            wide = min(4 * most + 16, len(have))
-            top = np.argpartition(-near, wide - 1, axis=1)[:, :wide]
-            exact = cosine(want[:, None, :], have[top])
             all_keys = stored_.column("keys").to_pylist()
-            firsts = np.array([x[0] for x in all_keys])[top]
-            order = np.lexsort((firsts, -exact))[:, :most]
-            rows = np.arange(len(want))[:, None]
-            at = pa.array(np.repeat(np.arange(len(want)), most))
-            keys = pa.array([all_keys[j] for j in top[rows, order].ravel()], pa.list_(pa.int64()))
+            firsts = np.array([x[0] for x in all_keys])
+            exact, top = best_entries(have, want, firsts, min(k + 1, len(have)))
+            at = pa.array(np.repeat(np.arange(len(want)), top.shape[1]))
+            keys = pa.array([all_keys[j] for j in top.ravel()], pa.list_(pa.int64()))
             return pa.RecordBatch.from_arrays(
-                [asks.column("entry").combine_chunks().take(at), pa.array(exact[rows, order].ravel()), keys],
+                [asks.column("entry").combine_chunks().take(at), pa.array(exact.ravel()), keys],
                 names=["query", "score", "keys"],
             )
 
@@ -277,6 +289,22 @@ def search(
     )
 
 
+def best_entries(have: np.ndarray, want: np.ndarray, firsts: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Exact scores and numbers, (queries, most) each, of the best entries: by cosine, then by first key.
+
+    A product of matrices chooses what is scored exactly: some more than needed, as it may
+    order near ties differently.
+    """
+    near = _unit(want) @ _unit(have).T
+    wide = min(4 * most + 16, len(have))
+    top = np.argpartition(-near, wide - 1, axis=1)[:, :wide]
+    exact = cosine(want[:, None, :], have[top])
+    order = np.lexsort((firsts[top], -exact))[:, :most]
+    rows = np.arange(len(want))[:, None]
+    scores, best = exact[rows, order], top[rows, order]
+    return scores, best
+
+
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosine along the last axis, in double precision."""
     lengths = np.sqrt((a * a).sum(axis=-1)) * np.sqrt((b * b).sum(axis=-1))

@@ -342,6 +342,25 @@ def test_neighbours(spark):
     assert neighbours.search(few, few.where("vec_id % 50 = 0")).count() == 2
 
 
+def test_neighbours_of_several_lengths(spark):
+    import numpy as np
+
+    draw = np.random.default_rng(6)
+    rows = [(i, draw.normal(size=6).tolist()) for i in range(60)]
+    rows += [(100 + i, draw.normal(size=3).tolist()) for i in range(20)] + [(200, [1.0] * 9)]  # one longer than all
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    asked = df.where("vec_id IN (0, 100, 200)")
+    got = {}
+    for r in neighbours.search(df, asked, block=8, recall=1.0).collect():
+        got.setdefault(r.query_id, {})[r.rank] = r.vec_id
+    assert sorted(got) == [0, 100]  # nothing has the length of 200
+    by = dict(rows)
+    for q, found in got.items():
+        same = [i for i, v in rows if len(v) == len(by[q]) and i != q]
+        score = lambda i: float(neighbours.cosine(np.array(by[q]), np.array(by[i])))  # noqa: E731, B023
+        assert [found[r] for r in range(1, 6)] == sorted(same, key=lambda i: (-score(i), i))[:5]
+
+
 def test_components(spark):
     from panelmill.llm.components import components
 
