@@ -292,8 +292,8 @@ def search(
 def best_entries(have: np.ndarray, want: np.ndarray, firsts: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Exact scores and numbers, (queries, most) each, of the best entries: by cosine, then by first key.
 
-    A product of matrices chooses what is scored exactly: some more than needed, as it may
-    order near ties differently.
+    A product of matrices chooses what is scored exactly. It may order near ties
+    differently, so whatever it puts within rounding of the last kept one is scored too.
     """
     near = _unit(want) @ _unit(have).T
     wide = min(4 * most + 16, len(have))
@@ -302,6 +302,13 @@ def best_entries(have: np.ndarray, want: np.ndarray, firsts: np.ndarray, most: i
     order = np.lexsort((firsts[top], -exact))[:, :most]
     rows = np.arange(len(want))[:, None]
     scores, best = exact[rows, order], top[rows, order]
+    last = -np.partition(-near, most - 1, axis=1)[:, most - 1:most]
+    tied = near >= last - 4 * (have.shape[1] + 8) * np.finfo(np.float64).eps
+    for i in np.flatnonzero(tied.sum(axis=1) > wide):  # more ties than were scored
+        own = np.flatnonzero(tied[i])
+        exact = cosine(want[i], have[own])
+        order = np.lexsort((firsts[own], -exact))[:most]
+        scores[i], best[i] = exact[order], own[order]
     return scores, best
 
 

@@ -361,6 +361,15 @@ def test_neighbours_of_several_lengths(spark):
         assert [found[r] for r in range(1, 6)] == sorted(same, key=lambda i: (-score(i), i))[:5]
 
 
+def test_neighbours_ties(spark):
+    """Many parallel vectors of different lengths tie exactly; the smallest keys win."""
+    base = [1.0, 2.0, -3.0, 0.5]
+    rows = [(1000, base)] + [(999 - j, [x * 2.0 ** (j - 150) for x in base]) for j in range(300) if j != 150]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = neighbours.search(df, df.where("vec_id = 1000")).collect()
+    assert [r.vec_id for r in sorted(got, key=lambda r: r.rank)] == [700, 701, 702, 703, 704]
+
+
 def test_components(spark):
     from panelmill.llm.components import components
 
