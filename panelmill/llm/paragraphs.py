@@ -111,7 +111,7 @@ def similar_links(texts: list[list[bytes]], similarity: float, size: int) -> lis
 
 
 def _with_bands(docs: DataFrame, min_words: int, size: int, bands: int, rows: int) -> DataFrame:
-    """key, paragraph, n_words, text_id and bands of every passage."""
+    """key, row_id, paragraph, n_words, text_id and bands of every passage."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -131,15 +131,16 @@ def _with_bands(docs: DataFrame, min_words: int, size: int, bands: int, rows: in
             keys = band_keys(np.array(hashes, np.uint64), begins, bands, rows)
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("key").take(pa.array(at)), pa.array(line, pa.int32()), pa.array(n_words, pa.int32()),
+                    part.column("key").take(pa.array(at)), part.column("row_id").take(pa.array(at)),
+                    pa.array(line, pa.int32()), pa.array(n_words, pa.int32()),
                     pa.array(ids, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * bands), pa.array(keys.ravel())),
                 ],
-                names=["key", "paragraph", "n_words", "text_id", "bands"],
+                names=["key", "row_id", "paragraph", "n_words", "text_id", "bands"],
             )
 
     kind = docs.schema["key"].dataType.simpleString()
-    return map_batches(docs, run, f"key {kind}, paragraph int, n_words int, text_id bigint, bands array<bigint>")
+    return map_batches(docs, run, f"key {kind}, row_id bigint, paragraph int, n_words int, text_id bigint, bands array<bigint>")
 
 
 def _colliding(nodes: DataFrame) -> DataFrame:
@@ -218,7 +219,8 @@ def repeated_passages(
     their sets of five-word shingles is at least ``similarity``, directly or over
     others. Columns: key, paragraph (number of the line, from 0), n_words,
     first_key and first_paragraph (the occurrence that stays: the one with the
-    smallest key, then line; nulls last), cluster_size and removed.
+    smallest key, then line; nulls last), cluster_size and removed, which is false
+    for one occurrence only, also where rows are equal in key and line.
 
     Equal passages are one node. MinHash signatures are cut into as few bands as
     reach the recall for passages of just that similarity; passages that share
@@ -230,25 +232,34 @@ def repeated_passages(
     one document. Null keys take part. Repeats within a document count. Other
     columns are not read. An empty table gives no rows.
     """
+    source = docs.select(
+        docs[key].alias("key"), docs[text].cast("string").alias("text"), F.monotonically_increasing_id().alias("row_id")
+    )
+    return _repeats(source, similarity, min_words, shingle, recall, hashes).select(
+        F.col("key").alias(key), "paragraph", "n_words", F.col("first.key").alias(f"first_{key}"),
+        F.col("first.paragraph").alias("first_paragraph"), "cluster_size", "removed", "text_id",
+    )
+
+
+def _repeats(
+    source: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS, shingle: int = SHINGLE,
+    recall: float = RECALL, hashes: int = HASHES,
+) -> DataFrame:
+    """The repeated passages of rows (key, text, row_id), each with the occurrence ``first`` that stays."""
     bands, rows = tuned_bands(similarity, recall, hashes)
-    source = docs.select(docs[key].alias("key"), docs[text].cast("string").alias("text"))
     found = stored(_with_bands(source, min_words, shingle, bands, rows), "passages")
     nodes = found.select("text_id", "bands").groupBy("text_id").agg(F.first("bands").alias("bands"))
     candidates = stored(components(_colliding(nodes)), "candidates")
     verified = _verified(source, candidates, min_words, shingle, similarity, TILE)
     clusters = components(verified)
-    thin = found.select("key", "paragraph", "n_words", "text_id")
+    thin = found.select("key", "row_id", "paragraph", "n_words", "text_id")
     thin = look_up(thin, clusters.withColumnRenamed("node", "text_id"), "text_id")
     thin = stored(thin.withColumn("cluster", F.coalesce("component", "text_id")).drop("component"), "occurrences")
-    place = F.struct(F.col("key").isNull().alias("late"), "key", "paragraph")
+    place = F.struct(F.col("key").isNull().alias("late"), "key", "paragraph", "row_id")
     groups = thin.groupBy("cluster").agg(F.count(F.lit(1)).alias("cluster_size"), F.min(place).alias("first")).where("cluster_size > 1")
     members = look_up(thin, groups, "cluster").where("cluster_size IS NOT NULL")
-    return members.select(
-        F.col("key").alias(key), "paragraph", "n_words", F.col("first.key").alias(f"first_{key}"),
-        F.col("first.paragraph").alias("first_paragraph"), "cluster_size",
-        (~(F.col("key").eqNullSafe(F.col("first.key")) & (F.col("paragraph") == F.col("first.paragraph")))).alias("removed"),
-        "text_id",
-    )
+    stays = (F.col("row_id") == F.col("first.row_id")) & (F.col("paragraph") == F.col("first.paragraph"))
+    return members.withColumn("removed", ~stays)
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -256,12 +267,16 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", **
 
     Documents of which nothing but white space is left are dropped.
     """
-    found = repeated_passages(docs, key=key, text=text, **options).where("removed")
-    cuts = found.groupBy(found[key].alias("cut_key")).agg(
-        F.collect_set(F.struct("paragraph", "text_id")).alias("cuts")  # a document's own passages
+    rest = F.struct(*[docs[c] for c in docs.columns if c != text]).alias("row")
+    rows = docs.select(
+        docs[key].alias("key"), docs[text].cast("string").alias("text"), F.monotonically_increasing_id().alias("row_id"), rest
+    )
+    rows = stored(rows, "numbered")  # the numbers hold for both reads
+    found = _repeats(rows.select("key", "text", "row_id"), **options).where("removed")
+    cuts = found.groupBy("row_id").agg(
+        F.collect_set(F.struct("paragraph", "text_id")).alias("cuts")  # a row's own passages
     )
-    rows = docs.select(docs[key].alias("key"), docs[text].cast("string").alias("text"), F.struct(*[docs[c] for c in docs.columns if c != text]).alias("row"))
-    rows = rows.join(cuts, F.col("key").eqNullSafe(F.col("cut_key")), "left").select("row", "text", "cuts")
+    rows = rows.select("row_id", "text", "row").join(cuts, "row_id", "left").select("row", "text", "cuts")
     min_words = options.get("min_words", MIN_WORDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

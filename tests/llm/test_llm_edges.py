@@ -158,6 +158,19 @@ def test_passages(docs, nothing):
     assert texts[3] is None and texts[4] == ""
 
 
+def test_one_occurrence_of_a_passage_stays(spark):
+    """Also among repeated rows of one key and among rows without a key."""
+    lines = {7: PASSAGE, None: prose(60, 60)}
+    rows = [(k, f"{line}\n{tail}") for k, line in lines.items() for tail in ("a", "b", "c")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    got = paragraphs.repeated_passages(df).collect()
+    texts = [r.text for r in paragraphs.without_repeats(df).collect()]
+    assert len(texts) == 6
+    for k, line in lines.items():
+        assert sorted(r.removed for r in got if r.doc_id == k) == [False, True, True]
+        assert sum(line in x for x in texts) == 1
+
+
 def test_passages_in_tiles(spark, monkeypatch):
     monkeypatch.setattr(paragraphs, "TILE", 3)
     words = PASSAGE.split()
