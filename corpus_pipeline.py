@@ -15,7 +15,7 @@ from panelmill.llm.packing import pack
 from panelmill.llm.paragraphs import without_repeats
 from panelmill.llm.quality import keep_good
 from panelmill.llm.shared import new_folder
-from panelmill.llm.simhash import keep_one
+from panelmill.llm.simhash import keep_one_similar
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +29,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return keep_one(docs)
+    """One document of each group that shares four fifths of its five-word runs."""
+    return keep_one_similar(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

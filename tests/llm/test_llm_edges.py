@@ -90,6 +90,28 @@ def test_simhash(docs, nothing):
     assert [k for k in keys(one.collect()) if k in (1, 2, 3, 4, 5)] == [1, 3]
 
 
+def test_simhash_similar(docs, nothing, spark):
+    """Edited copies go at five-word Jaccard 0.8; texts below stay, whatever their fingerprints."""
+    words = prose(50, 400).split()
+
+    def edited(seed, times):
+        out = list(words)
+        for i in random.Random(seed).sample(range(0, 400, 5), times):
+            out[i] = "edited"
+        return " ".join(out)
+
+    rows = [(0, " ".join(words)), *[(i, edited(i, 6)) for i in range(1, 30)], (50, edited(50, 40)), (51, prose(51, 400))]
+    grams = {k: simhash.shingles(t.encode().split(), 5) for k, t in rows}
+    likeness = lambda a, b: len(grams[a] & grams[b]) / len(grams[a] | grams[b])
+    assert all(likeness(0, i) >= 0.8 for i in range(30)) and max(likeness(50, i) for i in range(30)) < 0.8
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert keys(simhash.keep_one_similar(df.repartition(3), tile=8).collect()) == [0, 50, 51]
+    assert simhash.keep_one_similar(nothing).collect() == []
+    one = simhash.keep_one_similar(docs)
+    assert one.columns == docs.columns
+    assert [k for k in keys(one.collect()) if k in (1, 2, 3, 4, 5)] == [1, 3]
+
+
 def test_simhash_tiles(spark):
     draw = random.Random(0)
     base = draw.getrandbits(63)
