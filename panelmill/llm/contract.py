@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelmill.llm.arc import convert, read_warc, with_referred_keys, write_arc
+from panelmill.llm.lines import keep_bitmaps, with_kept_lines
 from panelmill.llm.neighbours import search
 from panelmill.llm.oracles import ORACLES  # noqa: F401  part of the contract
 from panelmill.llm.ordinal import classify
@@ -93,7 +94,14 @@ def op10_ordinal(spark, sf_dir):
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), KEEP)
 
 
+def op11_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    rows = with_kept_lines(docs, keep_bitmaps(docs))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
-    f.__name__: f for f in (op1_quality_rules, op2_arc_to_warc, op3_simhash, op4_token_counts, op5_paragraphs, op6_token_store, op7_packing, op8_neighbours, op9_pieces, op10_ordinal)
+    f.__name__: f for f in (op1_quality_rules, op2_arc_to_warc, op3_simhash, op4_token_counts, op5_paragraphs, op6_token_store, op7_packing, op8_neighbours, op9_pieces, op10_ordinal,
+    op11_line_dedup)
 }
 

@@ -124,4 +124,20 @@ SELECT doc_id, paragraph, n_words, first.d AS first_doc_id, first.p AS first_par
 FROM o JOIN k USING (cluster)
 """
 
-ORACLES = {"op1_quality_rules": _quality(), "op2_arc_to_warc": _ARCHIVE, "op5_paragraphs": _PASSAGES}
+_LINES = """
+WITH l AS (
+  SELECT doc_id, n, string_split(coalesce(text, ''), chr(10)) AS lines FROM (SELECT doc_id, text, row_number() OVER () AS n FROM documents)),
+e AS (SELECT doc_id, n, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM l),
+k AS (
+  SELECT *, trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key
+  FROM e),
+c AS (
+  SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+m AS (SELECT k.*, last IS NOT NULL AND last IS DISTINCT FROM doc_id AS gone FROM k LEFT JOIN c USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY n, doc_id
+"""
+
+ORACLES = {"op1_quality_rules": _quality(), "op2_arc_to_warc": _ARCHIVE, "op5_paragraphs": _PASSAGES, "op11_line_dedup": _LINES}
