@@ -6,8 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelmill.llm.alignment import alignment
 from panelmill.llm.arc import convert, read_warc, with_referred_keys, write_arc
 from panelmill.llm.lines import keep_bitmaps, with_kept_lines
+from panelmill.llm.merkle import manifest
 from panelmill.llm.neighbours import search
 from panelmill.llm.oracles import ORACLES  # noqa: F401  part of the contract
 from panelmill.llm.ordinal import classify
@@ -100,8 +102,17 @@ def op11_line_dedup(spark, sf_dir):
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_alignment(spark, sf_dir):
+    return alignment(table(spark, sf_dir, "documents"), BYTE, PIECE)
+
+
+def op13_merkle(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return manifest(docs, tampered=F.crc32(docs["doc_id"].cast("string")) % 5 == 0)
+
+
 QUERIES = {
     f.__name__: f for f in (op1_quality_rules, op2_arc_to_warc, op3_simhash, op4_token_counts, op5_paragraphs, op6_token_store, op7_packing, op8_neighbours, op9_pieces, op10_ordinal,
-    op11_line_dedup)
+    op11_line_dedup, op12_alignment, op13_merkle)
 }
 

@@ -140,4 +140,65 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM m GROUP BY n, doc_id
 """
 
-ORACLES = {"op1_quality_rules": _quality(), "op2_arc_to_warc": _ARCHIVE, "op5_paragraphs": _PASSAGES, "op11_line_dedup": _LINES}
+def _merkle_field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE octet_length(encode(CAST({value} AS VARCHAR))) || ':' || {value} END"
+
+
+def _merkle_leaf(text: str) -> str:
+    fields = [_merkle_field(c) for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(fields)})"
+
+
+#: The CRC-32 of a decimal number, bit by bit.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)),
+    4294967295::BIGINT)"""
+
+_MERKLE = f"""
+WITH RECURSIVE l AS (
+  SELECT doc_id, source, row_number() OVER (ORDER BY doc_id NULLS FIRST) AS row_no, {_merkle_leaf('text')} AS leaf,
+    CASE WHEN {_CRC} % 5 = 0 THEN {_merkle_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS changed
+  FROM documents),
+p AS (SELECT *, coalesce('=' || source, '') AS grp, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM l),
+tree(grp, height, pos, digest) AS (
+  SELECT grp, 0, pos, leaf FROM p
+  UNION ALL
+  SELECT grp, height + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER (PARTITION BY grp) AS n FROM tree) WHERE n > 1 GROUP BY grp, height, pos // 16),
+tops AS (SELECT grp, max(height) AS top FROM tree GROUP BY grp),
+subroots AS (
+  SELECT grp, digest, row_number() OVER (ORDER BY encode(grp)) - 1 AS place FROM tree JOIN tops USING (grp) WHERE height = top),
+over(height, pos, digest) AS (
+  SELECT 0, place, digest FROM subroots
+  UNION ALL
+  SELECT height + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER () AS n FROM over) WHERE n > 1 GROUP BY height, pos // 16),
+root AS (SELECT max(height) AS top, arg_max(digest, height) AS root FROM over),
+-- one row per leaf and level: the places of the node above the leaf, and its siblings before and after
+steps AS (
+  SELECT row_no, t.height AS step, t.pos AS own, s.pos AS other, s.digest FROM p
+  JOIN tops o ON o.grp = p.grp
+  JOIN tree t ON t.grp = p.grp AND t.height < o.top AND t.pos = p.pos // CAST(pow(16, t.height) AS BIGINT)
+  JOIN tree s ON s.grp = t.grp AND s.height = t.height AND s.pos // 16 = t.pos // 16
+  UNION ALL
+  SELECT row_no, o.top + t.height, t.pos, s.pos, s.digest FROM p
+  JOIN tops o ON o.grp = p.grp JOIN subroots b ON b.grp = p.grp CROSS JOIN root
+  JOIN over t ON t.height < root.top AND t.pos = b.place // CAST(pow(16, t.height) AS BIGINT)
+  JOIN over s ON s.height = t.height AND s.pos // 16 = t.pos // 16),
+levels AS (
+  SELECT row_no, step, coalesce(string_agg(digest, '' ORDER BY other) FILTER (WHERE other < own), '') AS before,
+    coalesce(string_agg(digest, '' ORDER BY other) FILTER (WHERE other > own), '') AS after
+  FROM steps GROUP BY row_no, step, own),
+path AS (
+  SELECT row_no, sha256(string_agg(before || after, '' ORDER BY step)) AS proof_sha256,
+    list({{'b': before, 'a': after}} ORDER BY step) AS path
+  FROM levels GROUP BY row_no)
+SELECT doc_id, leaf, b.digest AS subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM (
+  SELECT p.*, proof_sha256, list_reduce(list_prepend({{'b': coalesce(changed, leaf), 'a': ''}}, coalesce(path, [])),
+    lambda node, s: {{'b': sha256(s.b || node.b || s.a), 'a': ''}}).b AS folded
+  FROM p LEFT JOIN path USING (row_no)) q
+JOIN subroots b ON b.grp = q.grp CROSS JOIN root
+"""
+
+ORACLES = {"op1_quality_rules": _quality(), "op2_arc_to_warc": _ARCHIVE, "op5_paragraphs": _PASSAGES, "op11_line_dedup": _LINES, "op13_merkle": _MERKLE}
