@@ -37,6 +37,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     stream.add_argument("--curated")
     stream.add_argument("--max-files", type=int)
     refresh.add_argument("--curated", required=True)
+    refresh.add_argument("--incremental", action="store_true",
+                         help="build only the months that loads since the last refresh reach")
     for job in (stream, refresh):
         job.add_argument("--views", type=parse_names, default=list(DEFAULT_VIEWS),
                          help=f"comma-separated, of: {', '.join(CURATED)}")
@@ -63,7 +65,7 @@ def main(argv: list[str] | None = None) -> int:
             spark, args.raw, args.processed, args.checkpoint, _master(args), args.curated,
             args.layout, args.views, args.max_files)
     else:
-        reports = [refresh_all(spark, args.processed, args.curated, args.views)]
+        reports = [refresh_all(spark, args.processed, args.curated, args.views, incremental=args.incremental)]
     # One row per view, so the reports are a handful of rows.
     outcomes = [row for report in reports for row in report.collect()]
     for row in outcomes:

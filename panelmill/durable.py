@@ -77,3 +77,39 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     """Delete a file or folder that this package wrote itself."""
     system, target = _file_system(spark, path)
     system.delete(target, True)
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly in a folder; none if there is no such folder."""
+    system, target = _file_system(spark, path)
+    if not system.exists(target):
+        return []
+    return [s.getPath().getName() for s in system.listStatus(target) if s.isFile()]
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create a small file."""
+    system, target = _file_system(spark, path)
+    stream = system.create(target, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file."""
+    system, target = _file_system(spark, path)
+    stream = system.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def move_into_place(spark: SparkSession, aside: str, path: str) -> None:
+    """Rename a finished file to a name that must be free."""
+    system, source = _file_system(spark, aside)
+    _, target = _file_system(spark, path)
+    if system.exists(target) or not system.rename(source, target):
+        raise FileExistsError(f"{path} exists: another run was faster")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from panelmill.functions.dates import previous_day
 from panelmill.operators import enrich
+from panelmill.plans.changes import log_changes
 from panelmill.sinks.files import finish_replace, write_processed
 from panelmill.sources.master import MasterSource, read_master
 from panelmill.sources.raw import SOURCE_PATH, accepted, read_lines, rejected
@@ -23,10 +24,14 @@ def rejects_of(processed: str) -> str:
 
 
 def write_rejects(lines: DataFrame, processed: str) -> int:
-    """Append the lines that do not parse to the rejects beside the table; how many there were."""
+    """Store the lines that do not parse beside the table, in a folder for each source file; how many there were.
+
+    The folder of a file is replaced, so a file that is loaded again leaves its rejects once.
+    """
     counts = Observation()
     bad = rejected(lines).observe(counts, F.count(F.lit(1)).alias("rejected"))
-    bad.write.mode("append").json(rejects_of(processed))
+    writer = bad.hint("rebalance", F.col("source_file")).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy("source_file").json(rejects_of(processed))
     return observed(counts, "rejected")["rejected"]
 
 
@@ -55,7 +60,8 @@ def load_batch(
     of going on with unknown groups.
 
     Returns the rows and (approximate) entities written, counted by the write,
-    and the lines rejected, which go to a folder beside the table. A replacing
+    and the lines rejected, which go to a folder beside the table. Which bars are new or changed is
+    stored first, for the next refresh. A replacing
     load that was cut off while it moved its months is finished first.
     """
     finish_replace(spark, processed, stage_of(processed))
@@ -65,5 +71,6 @@ def load_batch(
         rows = rows.where(F.col("date") == (previous_day() if day == "yesterday" else F.lit(day).cast("date")))
     labels = read_master(spark, master, required=require_master)
     bars = enrich(rows, labels, source_path=SOURCE_PATH)
+    log_changes(bars, processed)
     written = write_processed(bars, processed, layout, mode, stage_of(processed))
     return {**observed(written, "rows", "entities"), "rejected": write_rejects(lines, processed)}

@@ -16,36 +16,41 @@ from panelmill.schemas import BARS, PanelSpec
 class Curated:
     """``order`` lists column names, newest first with a leading minus.
 
-    ``by_month`` marks the views stored in (year, month) partitions, ``ranked``
-    those that rank inside groups.
+    ``by_month`` marks the views that show year and month, ``ranked``
+    those that rank inside groups. ``reach`` is the number of rows, along the
+    ``series`` or the ``group``, over which a changed bar is felt, and which
+    a row needs before it; ``month`` is the column that says in which month a row is stored.
     """
 
     build: Callable[..., DataFrame]
     order: tuple[str, ...]
     by_month: bool = False
     ranked: bool = False
+    along: str = "series"
+    reach: int = 0
+    month: str = "date"
 
 
 CURATED: dict[str, Curated] = {
     "sector_daily_summary": Curated(
         summaries.sector_daily_summary, ("-date", "sector")),
     "ticker_monthly_summary": Curated(
-        summaries.ticker_monthly_summary, ("ticker", "-month")),
+        summaries.ticker_monthly_summary, ("ticker", "-month"), month="month"),
     "sector_performance_ranking": Curated(
-        rankings.sector_performance_ranking, ("-date", "sector", "return_rank"), ranked=True),
+        rankings.sector_performance_ranking, ("-date", "sector", "return_rank"), ranked=True, reach=21),
     "cross_sector_comparison": Curated(
-        cross_group.cross_sector_comparison, ("-date", "performance_rank")),
+        cross_group.cross_sector_comparison, ("-date", "performance_rank"), along="group", reach=32),
     "volatility_analysis": Curated(
-        volatility.volatility_analysis, ("-date", "ticker")),
+        volatility.volatility_analysis, ("-date", "ticker"), reach=62),
     "sector_performance_full": Curated(
         rankings.sector_performance_full, ("-date", "sector", "return_rank_in_sector"),
-        True, True),
+        True, True, reach=21),
     "cross_sector_full": Curated(
-        cross_group.cross_sector_full, ("-date", "performance_rank"), True),
+        cross_group.cross_sector_full, ("-date", "performance_rank"), True, along="group", reach=32),
     "volatility_full": Curated(
-        volatility.volatility_full, ("-date", "-volatility_20d"), True, True),
+        volatility.volatility_full, ("-date", "-volatility_20d"), True, True, reach=62),
     "daily_price_change": Curated(
-        rankings.daily_price_change, ("-date", "ticker")),
+        rankings.daily_price_change, ("-date", "ticker"), reach=2),
 }
 
 # The views that every refresh rebuilds unless told otherwise.

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
-from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from panelmill.durable import drop_folder, folder_bytes, subfolders
+from panelmill.durable import folder_bytes
 from panelmill.operators.rows import upsert_by_key
 from panelmill.plans import lookups
 from panelmill.schemas import BARS, PROCESSED_BARS, PanelSpec
-from panelmill.sinks.files import LAYOUTS, write_curated
+from panelmill.sinks import snapshots
+from panelmill.sinks.files import LAYOUTS
 
 
 BUCKET_BYTES = 512 * 1024 * 1024
@@ -73,12 +72,6 @@ def create_row_views(
     return enriched, chosen
 
 
-def _new_version(root: str, name: str) -> str:
-    """A folder name that sorts by time and is used by no other run."""
-    now = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-    return f"{root.rstrip('/')}/{name}/v{now}-{uuid.uuid4().hex[:8]}"
-
-
 def publish(
     view: DataFrame,
     name: str,
@@ -87,55 +80,20 @@ def publish(
     order: Sequence[Column] = (),
     keep: int = 2,
 ) -> str:
-    """Build a curated table in a new folder, then point the table at it.
+    """Store a curated table as a new version and make it the current one.
 
     Readers see the old rows until the new ones are complete, and a failed
-    build leaves the table as it was. Returns the new folder. The last ``keep``
+    build leaves the table as it was. The name is a catalog view over the
+    versions (see ``snapshots``). Returns the new folder. The last ``keep``
     versions stay, for readers still using the previous one.
     """
     spark = view.sparkSession
-    path = _new_version(root, name)
-    write_curated(view, path, by_month, order=order)
-    point_table(spark, name, path, ["year", "month"] if by_month else [])
-    home = f"{root.rstrip('/')}/{name}"
-    for old in [v for v in subfolders(spark, home) if v.startswith("v")][:-keep]:
-        spark.sql(f"DROP TABLE IF EXISTS {_quoted(f'{name}_' + old.replace('-', '_'))}")
-        drop_folder(spark, f"{home}/{old}")
+    path, months = snapshots.write_version(view, name, root, by_month, order=order)
+    snapshots.commit(spark, root, {name: months}, whole=[name], keep=keep)
+    snapshots.show_under_name(spark, root, name, view.columns, by_month)
     return path
 
 
-def point_table(spark: SparkSession, name: str, path: str, keys: Sequence[str] = ()) -> None:
-    """Make a name show the files of a folder, in one step for its readers.
-
-    A table of the same columns is pointed at the folder. With other columns,
-    and for partitioned files, whose partitions carry locations of their own,
-    the files are declared as a table of their own and the name becomes a view
-    of it, replaced in one step. Only a name that still is a table of other
-    columns is dropped before.
-    """
-    stored = spark.read.parquet(path)
-    types = {f.name: f.dataType.simpleString() for f in stored.schema}
-    types |= {"month": "string"} if "month" in keys else {}
-    exists = spark.catalog.tableExists(name)
-    is_table = exists and spark.catalog.getTable(name).tableType != "VIEW"
-    same = is_table and not keys and {f.name: f.dataType.simpleString() for f in spark.table(name).schema} == types
-    if same:
-        spark.sql(f"ALTER TABLE {_quoted(name)} SET LOCATION '{path}'")
-        spark.catalog.refreshTable(name)
-        return
-    columns = ", ".join(f"`{c}` {t}" for c, t in types.items())
-    by = f"PARTITIONED BY ({', '.join(keys)})" if keys else ""
-    target = f"{name}_{path.rstrip('/').rsplit('/', 1)[1].replace('-', '_')}" if keys or exists else name
-    spark.sql(f"CREATE TABLE {_quoted(target)} ({columns}) USING parquet {by} LOCATION '{path}'")
-    if keys:
-        spark.sql(f"MSCK REPAIR TABLE {_quoted(target)}")
-    if target != name:
-        if is_table:
-            spark.sql(f"DROP TABLE {_quoted(name)}")
-        chosen = ", ".join(f"`{c}`" for c in types)
-        spark.sql(f"CREATE OR REPLACE VIEW {_quoted(name)} AS SELECT {chosen} FROM {_quoted(target)}")
-
-
 def write_bucketed(
     bars: DataFrame, name: str, root: str, buckets: int | None = None, spec: PanelSpec = BARS
 ) -> DataFrame:
@@ -153,7 +111,7 @@ def write_bucketed(
         .write.mode("overwrite").bucketBy(buckets, spec.entity)
         .sortBy(spec.entity, spec.date)
         .option("compression", "snappy")
-        .option("path", _new_version(root, name))
+        .option("path", f"{root.rstrip('/')}/{name}/{snapshots.new_version()}")
         .saveAsTable(name)
     )
     return spark.table(name)
@@ -170,6 +128,6 @@ def bucket_count(spark: SparkSession, path: str, target: int = BUCKET_BYTES) ->
 def upsert_master(
     spark: SparkSession, name: str, root: str, new: DataFrame, now: Column, key: str = "ticker"
 ) -> str:
-    """Apply changes to the stored master and point its table at the result."""
+    """Apply changes to the stored master and make the result its current version."""
     merged = upsert_by_key(spark.table(name), new, key, now)
     return publish(merged, name, root)

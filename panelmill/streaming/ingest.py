@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from panelmill.durable import drop_folder, file_exists, leave_mark
 from panelmill.operators import enrich
+from panelmill.plans.changes import log_changes
 from panelmill.plans.load import write_rejects
 from panelmill.plans.refresh import refresh_all
 from panelmill.plans.registry import DEFAULT_VIEWS
@@ -32,8 +33,8 @@ def run_stream(
 
     The checkpoint remembers the files, and each micro-batch replaces the bars
     it brings: a batch that is repeated after a failure stores the same rows.
-    The views are rebuilt once at the end of a run that brought any file, and
-    their reports returned; if that fails, the next run makes up for it. The
+    The views are refreshed once at the end of a run that brought any file, in the months that
+    the new bars reach, and their reports returned; if that fails, the next run makes up for it. The
     master is read anew for every batch. ``unique`` says that the bars were
     only ever written in replace mode, as here, which spares the refresh a pass.
     """
@@ -44,6 +45,7 @@ def run_stream(
         bars = enrich(accepted(batch), read_master(session, master), source_path=SOURCE_PATH)
         staging = f"{checkpoint.rstrip('/')}/staging/{batch_id}"
         leave_mark(session, pending)
+        log_changes(bars, processed)
         write_processed(bars, processed, layout, "replace", staging)
         write_rejects(batch, processed)
 
@@ -57,7 +59,7 @@ def run_stream(
     query.awaitTermination()
     if curated is None or not file_exists(spark, pending):
         return []
-    report = refresh_all(spark, processed, curated, views, unique=unique)
-    if report.where("status <> 'SUCCEEDED'").isEmpty():
+    report = refresh_all(spark, processed, curated, views, unique=unique, incremental=True)
+    if report.where("status = 'FAILED'").isEmpty():
         drop_folder(spark, pending)
     return [report]
