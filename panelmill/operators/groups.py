@@ -1,30 +1,29 @@
 """Ranks and totals inside a group, for groups of any size.
 
 A (group, date) holds every entity of that group, which may be a large part of
-the table. By default groups are ranked by plain windows that share one
-exchange, and nothing runs before the action. A caller whose groups outgrow a
-task asks for splitting with ``hot_rows``: then groups are counted, by a
-column-pruned aggregate with map-side combine, and those above that many rows
-are split by value. The rows of such a group are put into ordered slots between
-cut values, every slot is ranked on its own task, and the number of rows in the
-slots above is added. The result is exact for any choice of cuts; they only
-decide how evenly work is spread.
+the table. There is one lazy plan, without a job before the action and without
+a setting by the caller. Groups are counted with map-side combine; those with more than
+one in ``slots`` of all rows are large, so there are fewer large groups than
+slots, and their names are broadcast. The values of large groups are cut at their common quantiles,
+which come from a mergeable sketch. The rows of a large group between two cuts are ranked on
+their own, and the number of its rows above the slot is added: counted exactly, so the ranks are
+exact for any cuts. Rows on a cut that is the value of very many rows tie, and
+are spread over as many pieces as the cut fills slots. So no task gets a group, or a tie, for itself.
+
+Tables known to be smaller than a task's share are ranked by plain windows; files
+tell their size when the plan is made.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelmill.durable import materialize
-
-# Cut values per group: some for every part of it, so that even an unlucky slot
-# stays below the size of a part.
-CUTS_PER_PART = 16
-_BLOCK = 32
+#: Input that one task can sort, whatever it holds.
+TASK_BYTES = 256 * 1024 * 1024
+MAX_SLOTS = 2000
 
 
 def with_group_standing(
@@ -34,45 +33,35 @@ def with_group_standing(
     ranks: dict[str, str],
     totals: dict[str, str] | None = None,
     sized_by: DataFrame | None = None,
-    hot_rows: int | None = None,
-    cuts_per_part: int = CUTS_PER_PART,
+    slots: int | None = None,
 ) -> DataFrame:
     """Add ``rank() over (partition by keys order by column desc nulls last)``
     for every ``{out: column}`` of ``ranks``, and the group's sum for every one
     of ``totals``.
 
-    ``identity`` names columns that tell the rows of a group apart.
-    Without ``hot_rows`` the plan is one window stage, lazy as a whole. With
-    it, groups above so many rows are split: that writes the rows of the
-    large groups to ``spark.checkpoint.dir`` when this function is called, and
-    it reads ``df`` once for them and once for the others. ``sized_by`` may be
-    a cheaper table with at least the rows of ``df`` in every group, to measure
-    the groups on. Ranked columns must not depend on the order of summation,
-    since the split reads them twice. Null keys form a group like any other.
+    ``identity`` names columns that tell the rows of a group apart. ``sized_by``
+    may be a cheaper table with at least the rows of ``df`` in every group, to
+    measure the groups on. Ranked columns must not depend on the order of summation,
+    since they are read more than once. Null keys form a group like any other.
+    ``slots`` is for tests: it splits by so many, whatever the input's size.
     """
     totals = totals or {}
-    if hot_rows is None:
-        return _by_window(df, keys, ranks, totals)
-    hot = hot_groups(df if sized_by is None else sized_by, keys, hot_rows)
-    hot = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_rows", "_parts")
-    is_hot = _same(keys, "_hot_")
-    cold = df.join(hot, is_hot, "left_anti")
-    big = materialize(df.join(hot, is_hot).drop(*[f"_hot_{k}" for k in keys]))
-    return _by_window(cold, keys, ranks, totals).unionByName(
-        _by_slot(big, keys, identity, ranks, totals, cuts_per_part)
-    )
+    if slots is None:
+        if input_bytes(df) <= TASK_BYTES:
+            return _by_window(df, keys, ranks, totals)
+        slots = _slots(df)
+    placed = _placed(df, keys, identity, ranks, sized_by, slots)
+    return _ranked(placed, ranks, totals).select(*df.columns, *ranks, *totals)
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """Keys, rows and parts of the groups above ``hot_rows``."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return sizes.where(F.col("_rows") > hot_rows).withColumn(
-        "_parts", F.ceil(F.col("_rows") / hot_rows).cast("bigint")
-    )
+def input_bytes(df: DataFrame) -> int:
+    """Size of the tables that a plan reads, as Spark knows it without reading them."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
-def _same(keys: Sequence[str], prefix: str) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
+def _slots(df: DataFrame) -> int:
+    return min(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_SLOTS)
 
 
 def _by_window(df, keys, ranks, totals) -> DataFrame:
@@ -85,96 +74,89 @@ def _by_window(df, keys, ranks, totals) -> DataFrame:
     return df.withColumns(columns)
 
 
-def _place(df, keys, identity, ranks, totals, cuts_per_part) -> DataFrame:
-    """Rows of hot groups with their totals, and per rank their slot and piece.
+def _placed(df, keys, identity, ranks, sized_by, slots) -> DataFrame:
+    """The rows with their group ``_g``, and ``_slot_i`` and ``_piece_i`` for each rank; ``_big`` is null in small groups.
 
-    ``df`` carries ``_rows`` and ``_parts`` of each row's group. A piece is
-    what one task ranks: a slot, or a part of a slot whose rows all tie.
+    ``_g`` is a struct, which is never null and equal where all keys are equal or
+    null. Slots count from the greatest values on. Small groups are one piece.
     """
-    columns = df.columns
+    sizes = (df if sized_by is None else sized_by).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    rows = sizes.agg(F.sum("_n").alias("_rows")).scalar()
+    big = sizes.where(F.col("_n") * slots > rows).select(F.struct(*keys).alias("_big"))
     spread = F.xxhash64(*identity)
-    df = df.withColumn("_part", F.pmod(spread, F.col("_parts")))
-    # Cut values are those of rows chosen by a hash of their identity: the same
-    # rows on every attempt and in every branch of the plan.
-    wanted = F.col("_parts") * cuts_per_part
-    chosen = F.pmod(F.xxhash64(F.lit("cut"), *identity), F.col("_rows")) < wanted
-    stats = df.groupBy(*keys).agg(
-        F.max("_parts").alias("_n"),
-        *[
-            F.sort_array(F.collect_list(F.when(chosen, F.col(col)))).alias(f"_cuts_{i}")
-            for i, col in enumerate(ranks.values())
-        ],
-        *[F.sum(col).alias(out) for out, col in totals.items()],
-    )
+    df = df.withColumn("_g", F.struct(*keys))
+    df = df.join(F.broadcast(big), F.col("_g") == F.col("_big"), "left")  # fewer than ``slots`` rows
+    if not ranks:
+        piece = F.when(F.col("_big").isNotNull(), F.pmod(spread, F.lit(slots))).otherwise(0)
+        return df.withColumns({"_slot_0": F.lit(0), "_piece_0": piece.cast("bigint")})
+    # one row with the cuts of all ranks meets the rows of large groups
+    cuts = _cuts(df.where(F.col("_big").isNotNull()), ranks, slots)
+    df = df.withColumn("_is_big", F.col("_big").isNotNull()).join(F.broadcast(cuts), F.col("_is_big") == F.col("_cut"), "left")
+    for i, col in enumerate(ranks.values()):
+        cuts, value = F.col(f"_cuts_{i}"), F.col(col)
+        df = df.withColumn("_below", F.when(F.col("_is_big"), _below(cuts["at"], value, slots)))
+        on_cut = F.coalesce(F.get(cuts["at"], F.col("_below")) == value, F.lit(False))
+        slot = F.when(value.isNull(), 1).otherwise(-(2 * F.col("_below") + on_cut.cast("int")))
+        parts = F.when(value.isNull(), cuts["nulls"]).when(on_cut, F.get(cuts["times"], F.col("_below"))).otherwise(1)
+        df = df.withColumns({
+            f"_slot_{i}": F.when(F.col("_is_big"), slot).otherwise(0),
+            f"_piece_{i}": F.when(F.col("_is_big"), F.pmod(spread, parts.cast("bigint"))).otherwise(0),
+        }).drop("_below", f"_cuts_{i}")
+    return df.drop("_is_big", "_cut")
+
+
+def _cuts(large: DataFrame, ranks: dict[str, str], slots: int) -> DataFrame:
+    """One row: ``_cut`` is true, and for each rank the quantiles ``at``, sorted, how many slots each fills, and how many nulls would."""
+    shares = F.array(*[F.lit(k / slots) for k in range(1, slots)])
+    found = large.agg(F.count(F.lit(1)).alias("rows"), *[
+        x for i, col in enumerate(ranks.values())
+        for x in (F.percentile_approx(col, shares, 10 * slots).alias(f"raw_{i}"), F.count(col).alias(f"n_{i}"))
+    ])
+    out = []
     for i in range(len(ranks)):
-        stats = stats.withColumn(
-            f"_heads_{i}", F.filter(f"_cuts_{i}", lambda _, at: at % _BLOCK == 0)
-        )
-    # One copy of the statistics per part, so a hot group joins on many tasks.
-    stats = stats.select(
-        *[F.col(k).alias(f"_st_{k}") for k in keys],
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1)).alias("_st_part"),
-        *totals,
-        *[f"{name}_{i}" for i in range(len(ranks)) for name in ("_cuts", "_heads")],
-    )
-    placed = df.join(stats, _same(keys, "_st_") & (F.col("_part") == F.col("_st_part")))
-    placed = placed.withColumns(
-        {f"_slot_{i}": _slot(col, i) for i, col in enumerate(ranks.values())}
-    )
-    # A slot on a cut holds a single value, so its rows tie and need no common
-    # task: they stay spread by part. Odd slots, and the slot of nulls, are such.
-    placed = placed.withColumns({
-        f"_piece_{i}": F.when(F.col(f"_slot_{i}") % 2 != 0, F.col("_part")).otherwise(0)
-        for i in range(len(ranks))
-    })
-    kept = [c for c in columns if c not in ("_rows", "_parts")]
-    return placed.select(
-        *kept, *totals,
-        *[f"{name}_{i}" for i in range(len(ranks)) for name in ("_slot", "_piece")],
-    )
-
-
-def _by_slot(df, keys, identity, ranks, totals, cuts_per_part) -> DataFrame:
-    kept = [c for c in df.columns if c not in ("_rows", "_parts")]
-    placed = _place(df, keys, identity, ranks, totals, cuts_per_part)
-    if ranks:
-        placed = materialize(placed)
-    out = placed
-    for i, (name, col) in enumerate(ranks.items()):
-        piece = [*keys, f"_slot_{i}", f"_piece_{i}"]
-        local = Window.partitionBy(*piece).orderBy(F.desc_nulls_last(col))
-        above = (
-            Window.partitionBy(*keys)
-            .orderBy(f"_slot_{i}")
-            .rangeBetween(Window.unboundedPreceding, -1)
-        )
-        offsets = (
-            placed.groupBy(*piece)
-            .agg(F.count(F.lit(1)).alias("_count"))
-            .select(
-                *[F.col(c).alias(f"_of_{c}") for c in piece],
-                F.coalesce(F.sum("_count").over(above), F.lit(0)).alias("_above"),
-            )
-        )
-        out = (
-            out.withColumn("_local", F.rank().over(local))
-            .join(offsets, _same(piece, "_of_"))
-            .withColumn(name, (F.col("_above") + F.col("_local")).cast("bigint"))
-            .drop("_local", "_above", *[f"_of_{c}" for c in piece])
-        )
-    return out.select(*kept, *ranks, *totals)
+        raw = F.coalesce(f"raw_{i}", F.array().cast(found.schema[f"raw_{i}"].dataType))
+        at = F.array_sort(F.array_distinct(raw))
+        times = _frequencies(at, raw)
+        nulls = F.ceil((F.col("rows") - F.col(f"n_{i}")) * slots / F.greatest("rows", F.lit(1))) + 1
+        out.append(F.struct(at.alias("at"), times.alias("times"), nulls.alias("nulls")).alias(f"_cuts_{i}"))
+    return found.select(F.lit(True).alias("_cut"), *out)
 
 
-def _slot(col: str, i: int) -> Column:
-    """Position among the sorted cuts, greatest values first.
+def _frequencies(values: Column, among: Column) -> Column:
+    return F.transform(values, lambda x: F.size(F.filter(among, lambda y: y == x)) + 1)
 
-    Twice the number of cuts below the value, plus one on a cut, negated; nulls
-    come after everything. The cuts below are counted in two steps, first over
-    the first cut of every block and then inside one block.
-    """
-    cuts, heads, value = F.col(f"_cuts_{i}"), F.col(f"_heads_{i}"), F.col(col)
-    start = F.greatest(F.size(F.filter(heads, lambda x: x < value)) - 1, F.lit(0)) * _BLOCK
-    block = F.slice(cuts, start + 1, F.lit(_BLOCK))
-    below = start + F.size(F.filter(block, lambda x: x < value))
-    on_cut = F.coalesce(F.get(cuts, below) == value, F.lit(False)).cast("int")
-    return F.when(value.isNull(), 1).otherwise(-(2 * below + on_cut))
+
+def _below(cuts: Column, value: Column, slots: int) -> Column:
+    """How many of the sorted cuts are less than the value, by bisection."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(slots.bit_length()))])
+    step = lambda found, by: F.when(
+        (found + by <= F.size(cuts)) & (F.get(cuts, found + by - 1) < value), found + by).otherwise(found)
+    return F.aggregate(steps, F.lit(0), step)
+
+
+def _ranked(placed: DataFrame, ranks, totals) -> DataFrame:
+    """Ranks within pieces plus the rows above them; for large groups both come by the piece, without another exchange."""
+    out = placed
+    for i, (name, col) in enumerate(list(ranks.items()) or [(None, None)]):
+        piece = ["_g", f"_slot_{i}", f"_piece_{i}"]
+        local = Window.partitionBy(*piece)
+        here = {"_local": F.rank().over(local.orderBy(F.desc_nulls_last(col)))} if name else {}
+        sums = totals if i == 0 else {}
+        here |= {f"_{out}": F.sum(c).over(local) for out, c in sums.items()}
+        counts = (
+            placed.where(F.col("_big").isNotNull()).groupBy(*piece)
+            .agg(F.count(F.lit(1)).alias("_count"), *[F.sum(c).alias(t) for t, c in sums.items()])
+        )
+        # a group has at most a few times ``slots`` pieces
+        group = Window.partitionBy("_g")
+        above = group.orderBy(piece[1]).rangeBetween(Window.unboundedPreceding, -1)
+        counts = counts.select(
+            *piece, F.coalesce(F.sum("_count").over(above), F.lit(0)).alias("_above"),
+            *[F.sum(t).over(group).alias(t) for t in sums],
+        )
+        out = out.withColumns(here).join(counts, piece, "left")
+        if name:
+            out = out.withColumn(name, (F.coalesce("_above", F.lit(0)) + F.col("_local")).cast("bigint")).drop("_local")
+        whole = {t: F.when(F.col("_big").isNull(), F.col(f"_{t}")).otherwise(F.col(t)) for t in sums}
+        out = out.withColumns(whole).drop("_above", *[f"_{t}" for t in sums])
+    return out

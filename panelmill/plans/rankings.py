@@ -35,16 +35,11 @@ def daily_price_change(bars: DataFrame, spec: PanelSpec = BARS) -> DataFrame:
     )
 
 
-def sector_performance_ranking(
-    bars: DataFrame,
-    spec: PanelSpec = BARS,
-    hot_rows: int | None = None,
-) -> DataFrame:
+def sector_performance_ranking(bars: DataFrame, spec: PanelSpec = BARS) -> DataFrame:
     """Rounded returns with ranks and volume share among the group's bars of the day.
 
     A series' first bar has no return: it is left out before ranks and shares,
-    but counts in the moving average of the bars that follow. ``hot_rows`` is
-    that of ``with_group_standing``.
+    but counts in the moving average of the bars that follow.
     """
     window = series_window(bars, spec)
     close, prev, ma20 = F.col(spec.close), F.col("prev_close"), F.col("_ma20")
@@ -66,7 +61,7 @@ def sector_performance_ranking(
         moves, [spec.group, spec.date], spec.series_keys,
         ranks={"return_rank": "_return", "volume_rank": spec.volume},
         totals={"_total": spec.volume},
-        sized_by=bars, hot_rows=hot_rows,
+        sized_by=bars,
     )
     return standing.select(
         spec.group, spec.entity, spec.date, spec.close,
@@ -76,11 +71,7 @@ def sector_performance_ranking(
     )
 
 
-def sector_performance_full(
-    bars: DataFrame,
-    spec: PanelSpec = BARS,
-    hot_rows: int | None = None,
-) -> DataFrame:
+def sector_performance_full(bars: DataFrame, spec: PanelSpec = BARS) -> DataFrame:
     """The unrounded ranking that keeps first bars, whose null return ranks last."""
     window = series_window(bars, spec)
     prices = [spec.open, spec.close, spec.high, spec.low, spec.volume]
@@ -98,7 +89,7 @@ def sector_performance_full(
         moves, [spec.group, spec.date], spec.series_keys,
         ranks={"return_rank_in_sector": "_return", "volume_rank_in_sector": spec.volume},
         totals={"_total": spec.volume},
-        sized_by=rows, hot_rows=hot_rows,
+        sized_by=rows,
     )
     return standing.select(
         spec.group, spec.entity, spec.date, *prices, "prev_close",

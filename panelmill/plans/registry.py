@@ -16,8 +16,7 @@ from panelmill.schemas import BARS, PanelSpec
 class Curated:
     """``order`` lists column names, newest first with a leading minus.
 
-    ``by_month`` marks the views that show year and month, ``ranked``
-    those that rank inside groups. ``reach`` is the number of rows, along the
+    ``by_month`` marks the views that show year and month. ``reach`` is the number of rows, along the
     ``series`` or the ``group``, over which a changed bar is felt, and which
     a row needs before it; ``month`` is the column that says in which month a row is stored.
     """
@@ -25,7 +24,6 @@ class Curated:
     build: Callable[..., DataFrame]
     order: tuple[str, ...]
     by_month: bool = False
-    ranked: bool = False
     along: str = "series"
     reach: int = 0
     month: str = "date"
@@ -37,18 +35,18 @@ CURATED: dict[str, Curated] = {
     "ticker_monthly_summary": Curated(
         summaries.ticker_monthly_summary, ("ticker", "-month"), month="month"),
     "sector_performance_ranking": Curated(
-        rankings.sector_performance_ranking, ("-date", "sector", "return_rank"), ranked=True, reach=21),
+        rankings.sector_performance_ranking, ("-date", "sector", "return_rank"), reach=21),
     "cross_sector_comparison": Curated(
         cross_group.cross_sector_comparison, ("-date", "performance_rank"), along="group", reach=32),
     "volatility_analysis": Curated(
         volatility.volatility_analysis, ("-date", "ticker"), reach=62),
     "sector_performance_full": Curated(
         rankings.sector_performance_full, ("-date", "sector", "return_rank_in_sector"),
-        True, True, reach=21),
+        True, reach=21),
     "cross_sector_full": Curated(
         cross_group.cross_sector_full, ("-date", "performance_rank"), True, along="group", reach=32),
     "volatility_full": Curated(
-        volatility.volatility_full, ("-date", "-volatility_20d"), True, True, reach=62),
+        volatility.volatility_full, ("-date", "-volatility_20d"), True, reach=62),
     "daily_price_change": Curated(
         rankings.daily_price_change, ("-date", "ticker"), reach=2),
 }
@@ -60,15 +58,9 @@ DEFAULT_VIEWS = (
 )
 
 
-def build(
-    name: str, bars: DataFrame, spec: PanelSpec = BARS, hot_rows: int | None = None
-) -> DataFrame:
-    """The view's rows in no particular order.
-
-    ``hot_rows`` makes a ranked view split groups above so many rows.
-    """
-    view = CURATED[name]
-    return view.build(bars, spec, hot_rows=hot_rows) if view.ranked else view.build(bars, spec)
+def build(name: str, bars: DataFrame, spec: PanelSpec = BARS) -> DataFrame:
+    """The view's rows in no particular order."""
+    return CURATED[name].build(bars, spec)
 
 
 def sort_columns(name: str, spec: PanelSpec = BARS) -> list[Column]:

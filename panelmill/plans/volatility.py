@@ -44,11 +44,7 @@ def volatility_analysis(bars: DataFrame, spec: PanelSpec = BARS) -> DataFrame:
     )
 
 
-def volatility_full(
-    bars: DataFrame,
-    spec: PanelSpec = BARS,
-    hot_rows: int | None = None,
-) -> DataFrame:
+def volatility_full(bars: DataFrame, spec: PanelSpec = BARS) -> DataFrame:
     """Unrounded 20-row figures with four risk classes and the rank in the group.
 
     First bars stay: their null return is skipped by the frames, their close
@@ -75,7 +71,7 @@ def volatility_full(
         frames.withColumn("_risk", snap_round(F.col("volatility_20d"), 10)),
         [spec.group, spec.date], spec.series_keys,
         ranks={"volatility_rank_in_sector": "_risk"},
-        sized_by=rows, hot_rows=hot_rows,
+        sized_by=rows,
     )
     sd, mean, drop = F.col("volatility_20d"), F.col("avg_return_20d"), close - F.col("_peak20")
     return standing.select(
