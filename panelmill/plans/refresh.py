@@ -86,7 +86,7 @@ def _rebuild(source, name, root, spec, builders, months=None) -> dict:
         path, found = snapshots.write_version(view, name, root, by_month, date, order, months)
         if months is not None:
             found = dict.fromkeys(months) | found
-        return {"name": name, "path": path, "months": found, "columns": view.columns, "by_month": by_month}
+        return {"name": name, "path": path, "months": found, "dtypes": view.dtypes, "by_month": by_month}
     except Exception as error:  # noqa: BLE001  one broken view must not stop the rest
         return {"name": name, "error": str(error)}
 
@@ -100,7 +100,7 @@ def _finish(spark, root, outcomes, counts=None, mark=None, whole=True) -> DataFr
         snapshots.commit(spark, root, new, list(new) if whole else (), marks)
     for o in built:
         if whole or not spark.catalog.tableExists(o["name"]):
-            snapshots.show_under_name(spark, root, o["name"], o["columns"], o["by_month"])
+            snapshots.show_under_name(spark, root, o["name"], o["dtypes"], o["by_month"])
     return spark.createDataFrame(
         [(o["name"], "FAILED" if "error" in o else "SUCCEEDED", o.get("path"), o.get("error")) for o in outcomes], REPORT)
 

@@ -1,6 +1,6 @@
 """Snapshots: which stored version of each month of each table is current.
 
-Tables lie in ``root/<name>/version=…/y=…/m=…``. A commit is one small file beside
+Tables lie in ``root/<name>/version=…/y=…/m=…`` (see ``home_of``). A commit is one small file beside
 the root that names the current version of every month of every table. It
 is written aside and renamed into place, so the tables of a refresh change
 together, and a run that dies before the rename has changed nothing. Catalog
@@ -30,6 +30,11 @@ def commits_of(root: str) -> str:
     return f"{root.rstrip('/')}_commits"
 
 
+def home_of(root: str, name: str) -> str:
+    """A table's folder; tables without a catalog name, which start with an underscore, lie beside the root."""
+    return f"{root.rstrip('/')}{'_counts' if name.startswith('_') else ''}/{name}"
+
+
 @dataclass
 class Snapshot:
     """The state of all tables: ``months[name][(y, m)]`` is a version, ``number`` that of the commit.
@@ -112,9 +117,9 @@ def _clean(spark: SparkSession, root: str, keep: int) -> None:
     for number in numbers[:-keep]:
         drop_folder(spark, _file(root, number))
     for name, versions in used.items():
-        for folder in subfolders(spark, f"{root.rstrip('/')}/{name}"):
+        for folder in subfolders(spark, home_of(root, name)):
             if folder.startswith("version=") and folder.removeprefix("version=") not in versions:
-                drop_folder(spark, f"{root.rstrip('/')}/{name}/{folder}")
+                drop_folder(spark, f"{home_of(root, name)}/{folder}")
 
 
 def new_version() -> str:
@@ -159,7 +164,7 @@ def write_months(rows: DataFrame, name: str, root: str, empty: bool = True) -> t
     """
     spark = rows.sparkSession
     version = new_version()
-    path = f"{root.rstrip('/')}/{name}/version={version}"
+    path = f"{home_of(root, name)}/version={version}"
     rows.write.option("compression", "snappy").partitionBy("y", "m").parquet(path)
     months = {
         (int(y.partition("=")[2]), int(m.partition("=")[2])): version
@@ -177,16 +182,26 @@ def read_current(spark: SparkSession, root: str, name: str, snapshot: Snapshot |
     months = (snapshot or load(spark, root)).months.get(name)
     if not months:
         return None
-    home = f"{root.rstrip('/')}/{name}"
+    home = home_of(root, name)
     paths = [f"{home}/version={v}/y={y}/m={m}" for (y, m), v in sorted(months.items())]
     return spark.read.option("basePath", home).parquet(*paths).drop("version")
 
 
-def show_under_name(spark: SparkSession, root: str, name: str, columns: Sequence[str], by_month: bool = False) -> None:
+def show_under_name(
+    spark: SparkSession, root: str, name: str, dtypes: Sequence[tuple[str, str]], by_month: bool = False
+) -> None:
     """Make a catalog name a view of the current rows, whichever commit is newest when it is read.
 
-    Filters on the year and month of a table stored by month prune its folders.
+    Filters on the year and month of a table stored by month prune its folders. Spark takes
+    the columns from the oldest version, so where columns have changed the former versions do not stay.
     """
+    home, columns = home_of(root, name), [c for c, _ in dtypes]
+    stored = dict(spark.read.parquet(home).dtypes)
+    if any(stored.get(c) != t for c, t in dtypes if not (by_month and c in ("year", "month"))):
+        current = set(load(spark, root).months.get(name, {}).values())
+        for folder in subfolders(spark, home):
+            if folder.removeprefix("version=") not in current:
+                drop_folder(spark, f"{home}/{folder}")
     derived = {
         "year": "CAST(nullif(s.y, 0) AS INT) AS year", "month": "lpad(CAST(nullif(s.m, 0) AS STRING), 2, '0') AS month"
     } if by_month else {}
@@ -197,7 +212,7 @@ def show_under_name(spark: SparkSession, root: str, name: str, columns: Sequence
         spark.sql(f"DROP TABLE {quoted}")  # of the time before there were commits
     spark.sql(f"""
         CREATE OR REPLACE VIEW {quoted} AS
-        SELECT {chosen} FROM parquet.`{root.rstrip('/')}/{name}` s
+        SELECT {chosen} FROM parquet.`{home}` s
         JOIN (SELECT y, m, version FROM json.`{commits}`
               WHERE view = '{name}' AND commit = (SELECT max(commit) FROM json.`{commits}`)) c
         ON s.y = c.y AND s.m = c.m AND s.version = c.version""")

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from panelmill.durable import folder_bytes
+from panelmill.durable import folder_bytes, partition_folders
 from panelmill.operators.rows import upsert_by_key
 from panelmill.plans import lookups
 from panelmill.schemas import BARS, PROCESSED_BARS, PanelSpec
 from panelmill.sinks import snapshots
 from panelmill.sinks.files import LAYOUTS
 
+log = logging.getLogger(__name__)
 
 BUCKET_BYTES = 512 * 1024 * 1024
 
@@ -24,11 +26,12 @@ def _quoted(name: str) -> str:
 def register_partitioned(
     spark: SparkSession, name: str, path: str, layout: str = "compact", evolve: bool = False
 ) -> list[str]:
-    """Declare stored bars as a table and pick up its partitions.
+    """Declare stored bars as a table and pick up its new partitions.
 
-    Safe to repeat: later calls add new partitions and drop vanished ones. The
-    schema is stated, so padded months stay text. ``evolve`` also looks into
-    the files for columns the table lacks and adds them; files without such a
+    Safe to repeat: later calls look for folders that the table does not know
+    yet. A partition whose folder has vanished is logged and stays in the table, where it has no rows (see
+    ``vanished_partitions``). The schema is stated, so padded months stay text. ``evolve`` also looks into
+    the files of the new folders for columns the table lacks and adds them; files without such a
     column read as null. Returns the added columns.
     """
     keys = LAYOUTS[layout]
@@ -39,18 +42,33 @@ def register_partitioned(
         f"CREATE TABLE IF NOT EXISTS {_quoted(name)} ({columns}) USING parquet "
         f"PARTITIONED BY ({', '.join(keys)}) LOCATION '{path}'"
     )
+    listed, known = partition_folders(spark, path, len(keys)), _known_partitions(spark, name)
+    if lost := known - listed:
+        log.warning("table %s: %d partitions without a folder, for example %s", name, len(lost), min(lost))
+    fresh = sorted(listed - known)
     added = []
-    if evolve:
-        known = set(spark.table(name).columns)
-        found = spark.read.option("mergeSchema", True).parquet(path).schema
-        added = [f for f in found if f.name not in known]
+    if evolve and fresh:
+        have = set(spark.table(name).columns)
+        reader = spark.read.option("mergeSchema", True).option("basePath", path)
+        added = [f for f in reader.parquet(*[f"{path}/{f}" for f in fresh]).schema if f.name not in have]
         if added:
             news = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
             spark.sql(f"ALTER TABLE {_quoted(name)} ADD COLUMNS ({news})")
-    spark.sql(f"MSCK REPAIR TABLE {_quoted(name)} SYNC PARTITIONS")
+    if fresh:
+        spark.sql(f"MSCK REPAIR TABLE {_quoted(name)} ADD PARTITIONS")
+    spark.catalog.refreshTable(name)
     return [f.name for f in added]
 
 
+def _known_partitions(spark: SparkSession, name: str) -> set[str]:
+    return {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {_quoted(name)}").collect()}
+
+
+def vanished_partitions(spark: SparkSession, name: str, path: str, layout: str = "compact") -> list[str]:
+    """Partitions of a registered table whose folders are gone."""
+    return sorted(_known_partitions(spark, name) - partition_folders(spark, path, len(LAYOUTS[layout])))
+
+
 def create_row_views(
     spark: SparkSession, table: str, since_year: int, sector: str
 ) -> tuple[str, str]:
@@ -90,7 +108,7 @@ def publish(
     spark = view.sparkSession
     path, months = snapshots.write_version(view, name, root, by_month, order=order)
     snapshots.commit(spark, root, {name: months}, whole=[name], keep=keep)
-    snapshots.show_under_name(spark, root, name, view.columns, by_month)
+    snapshots.show_under_name(spark, root, name, view.dtypes, by_month)
     return path
 
 

@@ -7,7 +7,9 @@ from dataclasses import dataclass, field
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
+from panelmill.operators.enrich import current_labels
 from panelmill.schemas import MASTER
 
 LABELS = ["ticker", "sector", "exchange", "country"]
@@ -50,7 +52,19 @@ class SeedMaster:
         return spark.read.schema(MASTER).option("multiLine", True).json(self.path)
 
 
-MasterSource = JdbcMaster | SnapshotMaster | SeedMaster
+@dataclass(frozen=True)
+class HistoryMaster:
+    """A folder with a row for each change of a ticker's labels and the date ``valid_from`` which it holds."""
+
+    path: str
+    format: str = "json"
+
+    def load(self, spark: SparkSession) -> DataFrame:
+        schema = T.StructType([*MASTER, T.StructField("valid_from", T.DateType())])
+        return spark.read.schema(schema).format(self.format).load(self.path)
+
+
+MasterSource = JdbcMaster | SnapshotMaster | SeedMaster | HistoryMaster
 
 
 def read_master(
@@ -62,16 +76,17 @@ def read_master(
     """The master's key and labels.
 
     No source, or one that cannot be opened, gives an empty table: bars then
-    get the unknown group. ``required`` raises instead.
+    get the unknown group. ``required`` raises instead. Of several rows of a ticker
+    the latest is taken, so that a repeated export multiplies nothing.
     """
-    columns = columns or LABELS
-    empty = spark.createDataFrame([], MASTER).select(*columns)
+    wanted = columns or LABELS
+    empty = spark.createDataFrame([], MASTER).select(*wanted)
     if source is None:
         return empty
     if isinstance(source, DataFrame):
-        return source.select(*columns)
+        return _chosen(source, columns)
     try:
-        return source.load(spark).select(*columns)
+        return _chosen(source.load(spark), columns)
     except Exception as error:
         if required or not isinstance(error, _unavailable()):
             raise
@@ -79,6 +94,13 @@ def read_master(
         return empty
 
 
+def _chosen(master: DataFrame, columns: list[str] | None) -> DataFrame:
+    """The named columns, or a row of labels per ticker (and ``valid_from``): the latest of several."""
+    if columns is not None:
+        return master.select(*columns)
+    return current_labels(master).select(*LABELS, *[c for c in ("valid_from",) if c in master.columns])
+
+
 def _unavailable() -> tuple[type[Exception], ...]:
     """Spark's own errors and those of a database driver."""
     from py4j.protocol import Py4JJavaError
