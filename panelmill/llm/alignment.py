@@ -22,35 +22,45 @@ from panelmill.llm.batches import slices
 from panelmill.llm.chunks import ChunkCoder
 from panelmill.llm.shared import map_batches, stored
 
+#: Bytes of text that are aligned at a time (or one longer text).
+BLOCK_BYTES = 1 << 20
+#: Chunks that the byte-level library encodes at a time, and chunks of a table that are kept for the next block.
+AT_ONCE = 4096
+KEPT = 200_000
 _START = "\x02"
 _MARKER = "▁"
 
 
-class _SpacedChunks(ChunkCoder):
-    """Ids of a space and the text, for byte-level texts whose words stand one space apart."""
-
-    def _as_chunks(self, pieces: np.ndarray) -> list[str]:
-        return [p if p[:1] == "\n" else " " + p[1:] if p[:1] == _START else " " + p for p in pieces]
-
-
 def _spaced(texts: pa.Array) -> pa.Array:
     """A space before each text."""
     return pc.binary_join_element_wise(pa.scalar("", texts.type), texts, pa.scalar(" ", texts.type))
 
 
-class SpacedBytes:
+class SpacedBytes(ChunkCoder):
     """Ids of a space and the text by a byte-level vocabulary; special strings in texts are plain text."""
 
     def __init__(self, path: str):
-        self.even, self.any = _SpacedChunks("byte", path), ChunkCoder("byte", path)
-        for code in (self.even, self.any):
-            code.model.encode_special_tokens = True
-        self.uneven = f"{self.even.whole}|{self.even.runs}"
+        super().__init__("byte", path)
+        self.model.encode_special_tokens = True
+        self.uneven = f"{self.whole}|{self.runs}"
+        self.spaced = False
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def _as_chunks(self, pieces: np.ndarray) -> list[str]:
+        """The first chunk of a text whose words stand one space apart gets its space here."""
+        if not self.spaced:
+            return super()._as_chunks(pieces)
+        return [p if p[:1] == "\n" else " " + p[1:] if p[:1] == _START else " " + p for p in pieces]
+
+    def library(self, texts: list[str]) -> list[bytes]:
+        """A few at a time: the library's own objects take much more room than the ids."""
+        return [ids for i in range(0, len(texts), AT_ONCE) for ids in super(SpacedBytes, self).library(texts[i:i + AT_ONCE])]
+
+    def encode_spaced(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         uneven = pc.match_substring_regex(texts, self.uneven)
-        even = self.even.encode(texts.filter(pc.invert(uneven)))
-        other = self.any.encode(_spaced(texts.filter(uneven)))
+        self.spaced = True
+        even = self.encode(texts.filter(pc.invert(uneven)))
+        self.spaced = False
+        other = self.encode(_spaced(texts.filter(uneven)))
         if not len(other[1]) > 1:
             return even
         where = uneven.to_numpy(zero_copy_only=False)
@@ -105,6 +115,7 @@ class Aligner:
 
     def __init__(self, byte_path: str, piece_path: str):
         self.coders = SpacedBytes(byte_path), ChunkCoder("piece", piece_path)
+        self.encode = self.coders[0].encode_spaced, self.coders[1].encode
         tokens = byte_tokens(byte_path), piece_tokens(piece_path)
         self.bytes = [pa.array(t, pa.large_binary()) for t in tokens]
         self.lengths = [pa.array([len(x) for x in t], pa.int64()) for t in tokens]
@@ -115,7 +126,7 @@ class Aligner:
         """Lists of ids, one array for each tokenizer."""
         return [
             pa.LargeListArray.from_arrays(pa.array(begins, pa.int64()), pa.array(ids.astype(np.int32)))
-            for ids, begins in (c.encode(texts) for c in self.coders)
+            for ids, begins in (encode(texts) for encode in self.encode)
         ]
 
     def joined(self, ids: pa.Array, side: int) -> pa.Array:
@@ -165,6 +176,14 @@ class Aligner:
         }
 
 
+    def forget(self) -> None:
+        """Keep the worker small between two blocks: it holds the tables of two vocabularies."""
+        for code in self.coders:
+            if len(code.table) > KEPT:
+                code.table = {}
+        pa.default_memory_pool().release_unused()
+
+
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
 
 
@@ -179,7 +198,7 @@ def aligned(docs: DataFrame, byte_path: str, piece_path: str, key: str = "doc_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = _aligner(byte_path, piece_path)
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", BLOCK_BYTES):
             texts = part.column("text").cast(pa.large_string())
             full = pc.fill_null(pc.greater(pc.binary_length(texts), 0), False)
             places = np.flatnonzero(full.to_numpy(zero_copy_only=False))
@@ -191,6 +210,7 @@ def aligned(docs: DataFrame, byte_path: str, piece_path: str, key: str = "doc_id
                 for c, values in columns.items():
                     values[at] = found[c]
                 sha[at] = found["sha"]
+                code.forget()
             ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(columns["n_groups"])])
             links = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(pair, pa.int64()))
             yield pa.RecordBatch.from_arrays(
