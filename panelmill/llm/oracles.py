@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from panelmill.llm.quality import MAX_REPEAT_PERCENT, MIN_GROUP, MIN_WORDS, RULES, WINDOW
-
+# written out again, so that the SQL does not follow the code that it checks
+MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW, MIN_GROUP = 20, 30, 8, 100
+_RULES = {  # figure: percentile, spreads
+    "symbols_permille": (90, 4), "duplicates_permille": (99, 1), "repeats_permille": (99, 1), "chars_percent": (90, 4),
+}
 _WORD = r"[^\x20\x09-\x0D]+"
 _FIGURES = {
     "symbols_permille": "n_symbols * 1000 // n_words",
@@ -24,7 +27,8 @@ def _quality() -> str:
   FROM {name}_steps WINDOW g AS (PARTITION BY {keys + ', ' if keys else ''}figure)),
 {name}_at AS (
   SELECT {keys + ', ' if keys else ''}figure, any_value(total) AS total,
-    min(bucket) FILTER (WHERE seen * 100 >= total * 10) AS b10, min(bucket) FILTER (WHERE seen * 100 >= total * 50) AS b50
+    min(bucket) FILTER (WHERE seen * 100 >= total * 50) AS b50, min(bucket) FILTER (WHERE seen * 100 >= total * 90) AS b90,
+    min(bucket) FILTER (WHERE seen * 100 >= total * 99) AS b99
   FROM {name}_seen GROUP BY ALL),"""
         for name, keys in levels.items()
     )
@@ -32,7 +36,7 @@ def _quality() -> str:
         f"SELECT lang, source, '{name}' AS figure, CAST({value} AS BIGINT) AS v FROM base WHERE NOT base_failed"
         for name, value in _FIGURES.items()
     )
-    rules = ", ".join(f"('{name}', {spreads}, {least})" for name, (_, spreads, least) in RULES.items())
+    rules = ", ".join(f"('{name}', {percent}, {spreads})" for name, (percent, spreads) in _RULES.items())
     inside = " AND ".join(
         f"coalesce(({value}) <= (SELECT most FROM limits l WHERE l.figure = '{name}' AND l.lang IS NOT DISTINCT FROM "
         "base.lang AND l.source IS NOT DISTINCT FROM base.source), true)"
@@ -64,17 +68,19 @@ figures AS ({figures}),
 buckets AS (
   SELECT lang, source, figure, greatest(length(bin(v)) - 7, 0) * 128 + (v >> CAST(greatest(length(bin(v)) - 7, 0) AS INTEGER)) AS bucket
   FROM figures),{quantiles}
-rules(figure, spreads, least_spread) AS (VALUES {rules}),
+rules(figure, percent, spreads) AS (VALUES {rules}),
 chosen AS (
   SELECT g.lang, g.source, r.*,
-    CASE WHEN o.total >= {MIN_GROUP} THEN o.b10 WHEN a.total >= {MIN_GROUP} THEN a.b10 ELSE e.b10 END AS b10,
-    CASE WHEN o.total >= {MIN_GROUP} THEN o.b50 WHEN a.total >= {MIN_GROUP} THEN a.b50 ELSE e.b50 END AS b50
+    CASE WHEN o.total >= {MIN_GROUP} THEN o.b50 WHEN a.total >= {MIN_GROUP} THEN a.b50 ELSE e.b50 END AS b50,
+    CASE WHEN percent = 90 THEN
+      CASE WHEN o.total >= {MIN_GROUP} THEN o.b90 WHEN a.total >= {MIN_GROUP} THEN a.b90 ELSE e.b90 END
+    ELSE CASE WHEN o.total >= {MIN_GROUP} THEN o.b99 WHEN a.total >= {MIN_GROUP} THEN a.b99 ELSE e.b99 END END AS high
   FROM (SELECT DISTINCT lang, source FROM documents) g CROSS JOIN rules r
   LEFT JOIN own_at o ON o.figure = r.figure AND o.lang IS NOT DISTINCT FROM g.lang AND o.source IS NOT DISTINCT FROM g.source
   LEFT JOIN language_at a ON a.figure = r.figure AND a.lang IS NOT DISTINCT FROM g.lang
   LEFT JOIN every_at e ON e.figure = r.figure),
 limits AS (
-  SELECT lang, source, figure, {edge('b50')} + spreads * greatest({edge('b50')} - ({edge('b10')}), least_spread) AS most FROM chosen)
+  SELECT lang, source, figure, {edge('high')} + spreads * ({edge('high')} - ({edge('b50')})) + 1 AS most FROM chosen)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   CASE WHEN base_failed THEN false ELSE {inside} END AS kept
 FROM base
@@ -91,39 +97,6 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'r
 FROM f
 """
 
-#: Exact Jaccard over all pairs; the query finds those of just 0.8 with the chance that its recall states.
-_PASSAGES = r"""
-WITH RECURSIVE lines AS (
-  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS paragraph
-  FROM documents),
-p AS (
-  SELECT doc_id, CAST(paragraph AS INTEGER) AS paragraph, w
-  FROM (SELECT doc_id, paragraph, regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM lines)
-  WHERE len(w) >= 50),
-t AS (SELECT dense_rank() OVER (ORDER BY array_to_string(w, ' ')) AS id, * FROM p),
-s AS (
-  SELECT DISTINCT id, array_to_string(w[i:i + 4], ' ') AS shingle
-  FROM (SELECT id, w, unnest(range(1, len(w) - 3)) AS i FROM (SELECT id, any_value(w) AS w FROM t GROUP BY id))),
-n AS (SELECT id, count(*) AS n FROM s GROUP BY id),
-e AS (
-  SELECT a.id AS a, b.id AS b FROM s a JOIN s b ON a.shingle = b.shingle AND a.id <> b.id
-  JOIN n x ON x.id = a.id JOIN n y ON y.id = b.id GROUP BY a.id, b.id, x.n, y.n
-  HAVING count(*) >= 0.8 * (x.n + y.n - count(*)) - 1e-9),
-reach(id, other) AS (
-  SELECT a, b FROM e UNION SELECT r.id, e.b FROM reach r JOIN e ON r.other = e.a),
-c AS (
-  SELECT t.id, least(t.id, coalesce(m.least_id, t.id)) AS cluster
-  FROM (SELECT DISTINCT id FROM t) t LEFT JOIN (SELECT id, min(other) AS least_id FROM reach GROUP BY id) m ON m.id = t.id),
-o AS (
-  SELECT doc_id, paragraph, CAST(len(w) AS INTEGER) AS n_words, cluster FROM t JOIN c USING (id)),
-k AS (
-  SELECT cluster, count(*) AS cluster_size, min({'d': doc_id, 'p': paragraph}) AS first FROM o GROUP BY cluster HAVING count(*) > 1)
-SELECT doc_id, paragraph, n_words, first.d AS first_doc_id, first.p AS first_paragraph, cluster_size,
-  NOT (doc_id = first.d AND paragraph = first.p) AS removed
-FROM o JOIN k USING (cluster)
-"""
-
 _LINES = """
 WITH l AS (
   SELECT doc_id, n, string_split(coalesce(text, ''), chr(10)) AS lines FROM (SELECT doc_id, text, row_number() OVER () AS n FROM documents)),
@@ -201,4 +174,4 @@ FROM (
 JOIN subroots b ON b.grp = q.grp CROSS JOIN root
 """
 
-ORACLES = {"op1_quality_rules": _quality(), "op2_arc_to_warc": _ARCHIVE, "op5_paragraphs": _PASSAGES, "op11_line_dedup": _LINES, "op13_merkle": _MERKLE}
+ORACLES = {"op1_quality_rules": _quality(), "op2_arc_to_warc": _ARCHIVE, "op11_line_dedup": _LINES, "op13_merkle": _MERKLE}

@@ -20,15 +20,17 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 
-#: Sketched figures, each a whole number, and how far a document may lie above the middle of its group: at
-#: most so many spreads, where a spread is the distance from the 10th to the 50th percentile, but
-#: never less than the figure's own least spread. Figures of no group make a rule that ordinary text trips.
+#: Sketched figures, each a whole number, the percentile of its group that a rule starts from and how many
+#: spreads a document may lie above it, where a spread is the distance from the 50th to that percentile. Figures
+#: that are mostly zero in clean text start from the 99th.
 RULES: Mapping[str, tuple[str, int, int]] = {
-    "symbols_permille": ("n_symbols * 1000 div n_words", 4, 75),
-    "duplicates_permille": ("n_dup_lines * 1000 div n_words", 4, 40),
-    "repeats_permille": ("n_repeat_words * 1000 div n_words", 4, 75),
-    "chars_percent": ("word_chars * 100 div n_words", 4, 200),
+    "symbols_permille": ("n_symbols * 1000 div n_words", 90, 4),
+    "duplicates_permille": ("n_dup_lines * 1000 div n_words", 99, 1),
+    "repeats_permille": ("n_repeat_words * 1000 div n_words", 99, 1),
+    "chars_percent": ("word_chars * 100 div n_words", 90, 4),
 }
+#: What is added to a limit: the width of the sketch's smallest bucket.
+RESOLUTION = 1
 #: A group with fewer documents is judged by its language's sketch, a rare language by all documents'.
 MIN_GROUP = 100
 #: Values below 2^7 have buckets of their own; above, a bucket spans 1/64 of its value.
@@ -123,8 +125,8 @@ def merged(sketches: DataFrame, by: list[str]) -> DataFrame:
     return sketches.groupBy(*by, "figure", "bucket").agg(F.sum("n").alias("n"))
 
 
-def quantiles(sketches: DataFrame, by: list[str], percents: tuple[int, ...] = (10, 50)) -> DataFrame:
-    """by, figure, documents and p10, p50: the upper end of the bucket where a quantile lies."""
+def quantiles(sketches: DataFrame, by: list[str], percents: tuple[int, ...] = (50, 90, 99)) -> DataFrame:
+    """by, figure, documents and p50, p90, p99: the upper end of the bucket where a quantile lies."""
     whole = [*by, "figure"]
     group = Window.partitionBy(*whole)  # a row for each bucket of a sketch
     seen = F.sum("n").over(group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
@@ -150,13 +152,14 @@ def thresholds(rows: DataFrame) -> DataFrame:
     figures = F.explode(F.array(*map(F.lit, RULES))).alias("figure")
     found = groups.select("lang", "grp", figures)
     for i, (level, by) in enumerate(zip(levels, (["lang", "grp"], ["lang"], []), strict=True)):
-        level = level.select(*by, "figure", F.struct("documents", "p10", "p50").alias(f"level{i}"))
+        level = level.select(*by, "figure", F.struct("documents", "p50", "p90", "p99").alias(f"level{i}"))
         found = found.join(level, [*by, "figure"], "left")
     big = lambda c: F.when(F.col(c)["documents"] >= MIN_GROUP, F.col(c))
     found = found.withColumn("q", F.coalesce(big("level0"), big("level1"), F.col("level2")))
     most = F.lit(None).cast("long")
-    for name, (_, spreads, least) in RULES.items():
-        bound = F.col("q")["p50"] + spreads * F.greatest(F.col("q")["p50"] - F.col("q")["p10"], F.lit(least))
+    for name, (_, percent, spreads) in RULES.items():
+        high, middle = F.col("q")[f"p{percent}"], F.col("q")["p50"]
+        bound = high + spreads * (high - middle) + RESOLUTION
         most = F.when(F.col("figure") == name, bound).otherwise(most)
     return found.groupBy("grp").agg(
         *[F.max(F.when(F.col("figure") == name, most)).alias(f"most_{name}") for name in RULES]
@@ -180,10 +183,10 @@ def quality_rules(
     Base rules are fixed: at least 20 words, and at most 30 percent of them in
     repeated 8-word windows. The other rules have no fixed cut: for each language
     and source, mergeable sketches over all documents that pass the base rules
-    give the middle and the spread of four figures (symbols, duplicate lines and
+    give the 50th, 90th and 99th percentile of four figures (symbols, duplicate lines and
     repeated words for each word, mean word length), and a document is rejected
-    if one of its figures lies four spreads above the middle. Sketches are
-    merged up to the language, or to all documents, for groups of fewer than 100.
+    if one of its figures lies further above a high percentile than ``RULES`` allows, measured
+    by the group's own spread. Sketches are merged up to the language, or to all documents, for groups of fewer than 100.
 
     A null text has no words and fails. Null languages and sources are groups of
     their own. Repeated rows and repeated or null keys each get their row and
