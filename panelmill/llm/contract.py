@@ -14,7 +14,7 @@ from panelmill.llm.neighbours import search
 from panelmill.llm.oracles import ORACLES  # noqa: F401  part of the contract
 from panelmill.llm.ordinal import classify
 from panelmill.llm.packing import pack
-from panelmill.llm.paragraphs import repeated_passages
+from panelmill.llm.paragraphs import passages_again
 from panelmill.llm.pieces import encode_decode
 from panelmill.llm.quality import quality_rules
 from panelmill.llm.shared import new_folder
@@ -59,7 +59,7 @@ def op4_token_counts(spark, sf_dir):
 
 
 def op5_paragraphs(spark, sf_dir):
-    return repeated_passages(table(spark, sf_dir, "documents")).drop("text_id")
+    return passages_again(table(spark, sf_dir, "documents"))
 
 
 def op6_token_store(spark, sf_dir):

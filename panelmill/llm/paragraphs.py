@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 
 from panelmill.llm.batches import slices
 from panelmill.llm.components import components
+from panelmill.llm.runs import numbered, repeated_runs
 from panelmill.llm.shared import map_batches, stored
 from panelmill.llm.skew import look_up
 
@@ -139,8 +141,8 @@ def _with_bands(docs: DataFrame, min_words: int, size: int, bands: int, rows: in
                 names=["key", "row_id", "paragraph", "n_words", "text_id", "bands"],
             )
 
-    kind = docs.schema["key"].dataType.simpleString()
-    return map_batches(docs, run, f"key {kind}, row_id bigint, paragraph int, n_words int, text_id bigint, bands array<bigint>")
+    kind, row_id = (docs.schema[c].dataType.simpleString() for c in ("key", "row_id"))
+    return map_batches(docs.select("key", "text", "row_id"), run, f"key {kind}, row_id {row_id}, paragraph int, n_words int, text_id bigint, bands array<bigint>")
 
 
 def _colliding(nodes: DataFrame) -> DataFrame:
@@ -165,15 +167,17 @@ def _colliding(nodes: DataFrame) -> DataFrame:
     return map_batches(rows, run, "a bigint, b bigint").distinct()
 
 
-def _verified(docs: DataFrame, candidates: DataFrame, min_words: int, size: int, similarity: float, tile: int) -> DataFrame:
+def _verified(docs: DataFrame, found: DataFrame, candidates: DataFrame, min_words: int, size: int, similarity: float, tile: int) -> DataFrame:
     """Edges a, b between candidates (node, component) that really are so similar."""
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            found = [w for t in part.column("text").to_pylist() for _, w in passages(t, min_words)]
+            own: dict[int, bytes] = {}
+            for t, wanted in zip(part.column("text").to_pylist(), part.column("wanted").to_pylist(), strict=True):
+                ids = set(wanted)
+                own |= {i: b" ".join(w) for _, w in passages(t, min_words) if (i := identity(w)) in ids}
             yield pa.RecordBatch.from_arrays(
-                [pa.array([identity(w) for w in found], pa.int64()), pa.array([b" ".join(w) for w in found], pa.binary())],
-                names=["text_id", "words"],
+                [pa.array(list(own), pa.int64()), pa.array(list(own.values()), pa.binary())], names=["text_id", "words"]
             )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,8 +204,10 @@ def _verified(docs: DataFrame, candidates: DataFrame, min_words: int, size: int,
         F.col("node").alias("text_id"), "component", tiles.alias("tiles"),
         F.pmod(F.xxhash64("node"), tiles).cast("int").alias("own"),
     )
-    words = map_batches(docs, texts, "text_id bigint, words binary")
-    words = words.groupBy("text_id").agg(F.first("words").alias("words"))
+    # one row for each candidate is read, and only candidates leave the scan's texts
+    sample = found.join(candidates.select(F.col("node").alias("text_id")), "text_id", "left_semi")
+    sample = sample.groupBy("text_id").agg(F.min("row_id").alias("row_id")).groupBy("row_id").agg(F.collect_list("text_id").alias("wanted"))
+    words = map_batches(docs.join(sample, "row_id").select("text", "wanted"), texts, "text_id bigint, words binary")
     rows = placed.join(words, "text_id").withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
     group = F.xxhash64("component", F.least("own", "other"), F.greatest("own", "other"))
     rows = rows.select(group.alias("grp"), "text_id", "words").repartition("grp").sortWithinPartitions("grp", "text_id")
@@ -250,7 +256,7 @@ def _repeats(
     found = stored(_with_bands(source, min_words, shingle, bands, rows), "passages")
     nodes = found.select("text_id", "bands").groupBy("text_id").agg(F.first("bands").alias("bands"))
     candidates = stored(components(_colliding(nodes)), "candidates")
-    verified = _verified(source, candidates, min_words, shingle, similarity, TILE)
+    verified = _verified(source, found, candidates, min_words, shingle, similarity, TILE)
     clusters = components(verified)
     thin = found.select("key", "row_id", "paragraph", "n_words", "text_id")
     thin = look_up(thin, clusters.withColumnRenamed("node", "text_id"), "text_id")
@@ -262,33 +268,73 @@ def _repeats(
     return members.withColumn("removed", ~stays)
 
 
-def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with all its columns, each passage left only where it occurs first.
+def passages_again(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """Every passage that occurs again, in lines or in the stream of words: a row per occurrence.
 
-    Documents of which nothing but white space is left are dropped.
+    Lines of at least 50 words, exactly or nearly equal, as ``repeated_passages`` has them, with kind ``line`` and place, the number
+    of the line; and runs of equal words that go over lines or stop inside them, with kind ``run`` and place, the first word (see
+    ``runs``). Columns: key, kind, place, n_words, first_key and first_place (the occurrence that stays), cluster_size
+    and removed. For runs only those that go are told.
+
+    Null and empty texts have no passages. Repeated rows are occurrences of their own. Null keys come last. Other columns
+    are not read. An empty table gives no rows.
     """
-    rest = F.struct(*[docs[c] for c in docs.columns if c != text]).alias("row")
-    rows = docs.select(
-        docs[key].alias("key"), docs[text].cast("string").alias("text"), F.monotonically_increasing_id().alias("row_id"), rest
+    source = numbered(docs.select(docs[key].alias("key"), docs[text].alias("text")), "key", "text")
+    lines = _repeats(source, **options).select(
+        "key", F.lit("line").alias("kind"), F.col("paragraph").alias("place"), "n_words", F.col("first.key").alias("first_key"),
+        F.col("first.paragraph").alias("first_place"), "cluster_size", "removed",
     )
-    rows = stored(rows, "numbered")  # the numbers hold for both reads
-    found = _repeats(rows.select("key", "text", "row_id"), **options).where("removed")
-    cuts = found.groupBy("row_id").agg(
-        F.collect_set(F.struct("paragraph", "text_id")).alias("cuts")  # a row's own passages
+    runs = repeated_runs(source).select(
+        "key", F.lit("run").alias("kind"), F.col("begin").alias("place"), "n_words", "first_key",
+        F.col("first_begin").alias("first_place"), F.col("places").alias("cluster_size"), F.lit(True).alias("removed"),
     )
-    rows = rows.select("row_id", "text", "row").join(cuts, "row_id", "left").select("row", "text", "cuts")
-    min_words = options.get("min_words", MIN_WORDS)
+    return lines.unionByName(runs).withColumnsRenamed({"key": key, "first_key": f"first_{key}"})
+
+
+_SEEN = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+def cut_out(text: str, lines: list[int], runs: list[tuple[int, int]]) -> str:
+    """The text without some lines (by number) and runs of words (first, how many); what is left stands on lines of its own."""
+    data = text.encode()
+    spans = []
+    if lines:
+        ends = np.cumsum([len(x) + 1 for x in data.split(b"\n")])
+        spans += [(int(ends[i - 1]) if i else 0, int(ends[i])) for i in lines]
+    if runs:
+        words = [m.span() for m in _SEEN.finditer(data)]
+        spans += [(words[begin][0], words[begin + n - 1][1]) for begin, n in runs]
+    left, at = [], 0
+    for begin, end in [*sorted(spans), (len(data), len(data))]:
+        if begin > at:
+            left.append(data[at:begin])
+        at = max(at, end)
+    left = [x for x in left if x.strip()]
+    return b"\n".join(x.strip(b"\n") for x in left).decode()
+
+
+def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with all its columns, each passage left only where it occurs first.
+
+    Documents of which nothing but white space is left are dropped. Null and empty texts stay as they are, and repeated rows stay
+    without their passages, or go where nothing else is in them. Each text is shuffled once, to meet what
+    is cut from it; rows of Parquet files are not copied.
+    """
+    rows = numbered(docs, key, text)
+    source = rows.select("key", "text", "row_id")
+    lines = _repeats(source, **options).where("removed").groupBy("row_id").agg(F.collect_set("paragraph").alias("lines"))
+    runs = repeated_runs(source).groupBy("row_id").agg(F.collect_set(F.struct("begin", "n_words")).alias("runs"))
+    cuts = lines.join(runs, "row_id", "full")  # a row's own passages
+    rows = rows.join(cuts, "row_id", "left").select("row", "text", "lines", "runs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             texts = part.column("text").to_pylist()
             keep = []
-            for i, cut in enumerate(part.column("cuts").to_pylist()):
-                if cut:
-                    drop = {(c["paragraph"], c["text_id"]) for c in cut}
-                    gone = {n for n, words in passages(texts[i], min_words) if (n, identity(words)) in drop}
-                    texts[i] = "\n".join(x for n, x in enumerate(texts[i].split("\n")) if n not in gone)
-                    if gone and not texts[i].strip():
+            for i, (gone, spans) in enumerate(zip(part.column("lines").to_pylist(), part.column("runs").to_pylist(), strict=True)):
+                if gone or spans:
+                    texts[i] = cut_out(texts[i], gone or [], [(r["begin"], r["n_words"]) for r in spans or []])
+                    if not texts[i].strip():
                         continue
                 keep.append(i)
             kept = pa.array(keep, pa.int32())
@@ -297,5 +343,6 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", **
             )
 
     out = map_batches(rows, run, T.StructType([rows.schema["row"], T.StructField("text", T.StringType())]))
-    return out.select(*[(F.col("text") if c == text else F.col("row")[c]).alias(c) for c in docs.columns])
-
+    return out.select(*[
+        (F.col("text") if c == text else F.col("row")[f"c{i}"]).alias(c) for i, c in enumerate(docs.columns)
+    ])
