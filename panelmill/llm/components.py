@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelmill.llm.shared import stored
+from panelmill.llm.shared import discard, folders_made, stored
 from panelmill.llm.skew import look_up
 
 
@@ -32,12 +32,13 @@ def components(edges: DataFrame) -> DataFrame:
     ones. The result is a star for each component, after a number of rounds that
     grows with the logarithm of its size. A round is a few joins of narrow rows,
     written to the shared folder; nodes with very many neighbours are looked up
-    without a shuffle. An empty table gives no rows; null ends are ignored.
+    without a shuffle; each round deletes the tables of the one before. An empty table gives no rows; null ends are ignored.
     """
     edges = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
     edges = edges.select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).distinct()
+    spark = edges.sparkSession
     edges = stored(edges, "edges")
-    state = _state(edges)
+    state, last = _state(edges), folders_made()[-1]
     while True:
         both = edges.unionByName(edges.select(F.col("low").alias("high"), F.col("high").alias("low")))
         large = _to_smallest(both, "low", "high", lambda e: e.where("high > low").select("high", F.col("least").alias("low")))
@@ -49,6 +50,9 @@ def components(edges: DataFrame) -> DataFrame:
         )
         edges = stored(small.distinct(), "edges")
         before, state = state, _state(edges)
+        made = folders_made()  # the round's edges are written: what led to them goes
+        discard(spark, made[made.index(last):-1])
+        last = made[-1]
         if before == state:
             break
     roots = edges.select(F.col("low").alias("node")).distinct()

@@ -22,6 +22,23 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+ROW_GROUP_BYTES = 16 << 20
+_made: list[str] = []
+
+
+def folders_made() -> list[str]:
+    """The folders of this session so far, in order."""
+    return list(_made)
+
+
+def discard(spark: SparkSession, folders: list[str]) -> None:
+    """Delete folders of ``new_folder`` that nothing will read again."""
+    for path in folders:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        _made.remove(path)
+
+
 def new_folder(spark: SparkSession, what: str) -> str:
     """A folder of its own in the shared folder, deleted when the driver's JVM ends."""
     path = f"{shared_folder(spark)}/panelmill-{what}-{uuid.uuid4().hex}"
@@ -29,13 +46,17 @@ def new_folder(spark: SparkSession, what: str) -> str:
     system = target.getFileSystem(spark._jsc.hadoopConfiguration())
     system.mkdirs(target)
     system.deleteOnExit(target)
+    _made.append(path)
     return path
 
 
 def stored(df: DataFrame, what: str) -> DataFrame:
-    """Write the rows as Parquet in the shared folder once, and go on from the files."""
+    """Write the rows as Parquet in the shared folder once, and go on from the files.
+
+    Small row groups: a writer holds one of them in memory, and whole texts are among what is stored.
+    """
     path = f"{new_folder(df.sparkSession, what)}/rows"
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

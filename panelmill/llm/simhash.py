@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from panelmill.llm.batches import slices
 from panelmill.llm.components import components
-from panelmill.llm.paragraphs import band_keys, identity, shingles, tuned_bands
+from panelmill.llm.runs import numbered
 from panelmill.llm.shared import map_batches, stored
 from panelmill.llm.skew import look_up
 
@@ -271,137 +271,17 @@ def keep_one(
 ) -> DataFrame:
     """One row, with all its columns, of each group of near-duplicates: one with the group's smallest key.
 
-    Rows with null keys come last. The rows are numbered and stored once, so
-    that the choice also holds for rows that are equal in everything.
+    Rows with null keys come last. Texts without words, null and empty ones too, are one group, of which
+    one row stays, and of repeated rows one stays. An empty table gives no rows. Rows are known by their place in their file, or
+    are numbered and stored once, so that the choice also holds for rows that are equal in everything. Only narrow rows go through the
+    comparison; at the end the rows that are dropped are taken away.
     """
-    numbered = docs.select(
-        docs[key].alias("key"), docs[text].cast("string").alias("text"), F.monotonically_increasing_id().alias("row_id"),
-        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
-    )
-    rows = _with_prints(numbered, shingle)
+    source = numbered(docs, key, text)
+    rows = _with_prints(source.select("key", "text", "row_id"), shingle)
     rank = F.struct(F.col("key").isNull().alias("late"), "key", "row_id")
     prints = _components(rows.groupBy("fp").agg(F.min(rank).alias("first")), radius, blocks)
-    chosen = prints.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.row_id").alias("row_id"))
-    kept = rows.select("row_id", "row").join(chosen, "row_id", "left_semi")
-    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
-
-
-def _with_bands(rows: DataFrame, shingle: int, bands: int, least: int) -> DataFrame:
-    """The rows but ``text``, with fp, text_id (64 bits of the words) and MinHash bands of the text; stored."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
-            texts = part.column("text").to_pylist()
-            words = [(t or "").encode().lower().split() for t in texts]
-            prints = np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)
-            keys = np.zeros((len(texts), bands), np.int64)
-            for i, w in enumerate(words):
-                keys[i] = band_keys(_hashes(w, shingle), np.zeros(1, np.int64), bands, least)[0]
-            ends = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * bands)
-            yield (
-                part.drop_columns(["text"]).append_column("fp", pa.array(prints))
-                .append_column("text_id", pa.array([identity(w) for w in words], pa.int64()))
-                .append_column("bands", pa.ListArray.from_arrays(ends, pa.array(keys.ravel())))
-            )
-
-    kept = [f for f in rows.schema if f.name != "text"]
-    more = [T.StructField("fp", T.LongType()), T.StructField("text_id", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))]
-    return stored(map_batches(rows, run, T.StructType([*kept, *more])), "fingerprints")
-
-
-def _hashes(words: list[bytes], shingle: int) -> np.ndarray:
-    """Sorted 64-bit hashes of the text's different shingles."""
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles(words, shingle)), np.uint64))
-
-
-def jaccard_links(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
-    """Links that join the same sets (sorted, distinct) as all pairs of at least this Jaccard similarity."""
-    group = np.arange(len(sets))
-    sizes = np.array([len(s) for s in sets])
-    links = []
-    for i, own in enumerate(sets):
-        fits = np.minimum(sizes[:i], len(own)) >= similarity * np.maximum(sizes[:i], len(own)) - 1e-9
-        for j in np.flatnonzero(fits).tolist():
-            if group[i] == group[j]:
-                continue
-            at = np.minimum(np.searchsorted(own, sets[j]), len(own) - 1)
-            common = int((own[at] == sets[j]).sum())
-            if common >= similarity * (len(own) + sizes[j] - common) - 1e-9:
-                links.append((i, j))
-                group[group == group[i]] = group[j]
-    return links
-
-
-def _similar(texts: DataFrame, shingle: int, similarity: float, tile: int) -> DataFrame:
-    """Edges a, b between the texts (text_id, grp, text) of a group with at least this Jaccard similarity."""
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
-            found = [_hashes((t or "").encode().lower().split(), shingle).tobytes() for t in part.column("text").to_pylist()]
-            yield part.drop_columns(["text"]).append_column("hashes", pa.array(found, pa.binary()))
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def links(ids: list[int], sets: list[bytes]) -> pa.RecordBatch:
-            found = jaccard_links([np.frombuffer(x, np.uint64) for x in sets], similarity)
-            ends = [pa.array([ids[x[k]] for x in found], pa.int64()) for k in (0, 1)]
-            return pa.RecordBatch.from_arrays(ends, names=["a", "b"])
-
-        place, ids, sets = None, [], []
-        for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("place", "text_id", "hashes"))
-            for p, i, h in zip(*columns, strict=True):
-                if p != place and ids:
-                    yield links(ids, sets)
-                    ids, sets = [], []
-                place = p
-                ids.append(i)
-                sets.append(h)
-        if ids:
-            yield links(ids, sets)
-
-    rows = stored(map_batches(texts, hashed, "text_id bigint, grp bigint, n bigint, hashes binary"), "shingles")
-    tiles = F.ceil(F.col("n") / tile).cast("int")
-    rows = rows.withColumn("tiles", tiles).withColumn("own", F.pmod(F.xxhash64("text_id"), "tiles").cast("int"))
-    rows = rows.withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
-    place = F.xxhash64("grp", F.least("own", "other"), F.greatest("own", "other")).alias("place")
-    rows = rows.select(place, "text_id", "hashes").repartition("place").sortWithinPartitions("place", "text_id")
-    return map_batches(rows, compare, "a bigint, b bigint").distinct()
-
-
-def keep_one_similar(
-    docs: DataFrame, radius: int = 16, shingle: int = 5, similarity: float = 0.8, recall: float = 0.9995,
-    hashes: int = 64, key: str = "doc_id", text: str = "text", tile: int = 512,
-) -> DataFrame:
-    """One row of each group of texts whose sets of ``shingle``-word runs have this Jaccard similarity.
-
-    The row is one with the group's smallest key; null keys come last. No choice of
-    agreeing blocks tells fingerprints ``radius`` = 16 of 64 bits apart from others, so
-    texts meet in MinHash bands, tuned to the recall, and those that meet
-    within the radius are candidates: their fingerprints are compared, not their texts. Exact
-    Jaccard similarity over 64-bit shingle hashes decides on every link between candidates of a
-    group. A pair is missed if its fingerprints lie further apart or, with chance 1 - recall, if it meets in no band.
-    Equal texts are one node. Large buckets and groups are split into tiles that meet pairwise.
-    """
-    bands, least = tuned_bands(similarity, recall, hashes)
-    numbered = docs.select(
-        docs[key].alias("key"), docs[text].cast("string").alias("text"), F.monotonically_increasing_id().alias("row_id"),
-        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
-    )
-    rows = _with_bands(numbered, shingle, bands, least)
-    rank = F.struct(F.col("key").isNull().alias("late"), "key", "row_id")
-    nodes = rows.groupBy("text_id").agg(
-        F.min(rank).alias("first"), F.min("row_id").alias("sample"), F.first("fp").alias("fp"), F.first("bands").alias("bands")
-    )
-    nodes = stored(nodes, "texts")
-    buckets = nodes.select("fp", F.explode("bands").alias("bucket")).distinct()
-    near = components(linked_in(buckets, radius)).withColumnRenamed("node", "fp")
-    placed = look_up(nodes.select("text_id", "sample", "fp"), near, "fp")
-    placed = stored(placed.select("text_id", "sample", F.coalesce("component", "fp").alias("grp")), "placed")
-    sizes = placed.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    asked = look_up(placed, sizes, "grp").where("n IS NOT NULL")
-    texts = rows.select(F.col("row_id").alias("sample"), F.col("row")[text].cast("string").alias("text")).join(asked, "sample")
-    found = components(_similar(texts.select("text_id", "grp", "n", "text"), shingle, similarity, tile))
-    nodes = look_up(nodes.select("text_id", "first"), found.withColumnRenamed("node", "text_id"), "text_id")
-    chosen = nodes.groupBy(F.coalesce("component", "text_id")).agg(F.min("first").alias("first"))
-    kept = rows.select("row_id", "row").join(chosen.select(F.col("first.row_id").alias("row_id")), "row_id", "left_semi")
-    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    firsts = prints.groupBy("component").agg(F.min("first").alias("chosen"))
+    members = look_up(prints.select("fp", "component"), firsts, "component").select("fp", "chosen")
+    gone = look_up(rows.select("fp", "row_id"), members, "fp").where(~F.col("row_id").eqNullSafe(F.col("chosen.row_id")))
+    kept = source.join(stored(gone.select("row_id"), "dropped"), "row_id", "left_anti")
+    return kept.select(*[(F.col("text") if c == text else F.col("row")[f"c{i}"]).alias(c) for i, c in enumerate(docs.columns)])

@@ -90,28 +90,6 @@ def test_simhash(docs, nothing):
     assert [k for k in keys(one.collect()) if k in (1, 2, 3, 4, 5)] == [1, 3]
 
 
-def test_simhash_similar(docs, nothing, spark):
-    """Edited copies go at five-word Jaccard 0.8; texts below stay, whatever their fingerprints."""
-    words = prose(50, 400).split()
-
-    def edited(seed, times):
-        out = list(words)
-        for i in random.Random(seed).sample(range(0, 400, 5), times):
-            out[i] = "edited"
-        return " ".join(out)
-
-    rows = [(0, " ".join(words)), *[(i, edited(i, 6)) for i in range(1, 30)], (50, edited(50, 40)), (51, prose(51, 400))]
-    grams = {k: simhash.shingles(t.encode().split(), 5) for k, t in rows}
-    likeness = lambda a, b: len(grams[a] & grams[b]) / len(grams[a] | grams[b])
-    assert all(likeness(0, i) >= 0.8 for i in range(30)) and max(likeness(50, i) for i in range(30)) < 0.8
-    df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    assert keys(simhash.keep_one_similar(df.repartition(3), tile=8).collect()) == [0, 50, 51]
-    assert simhash.keep_one_similar(nothing).collect() == []
-    one = simhash.keep_one_similar(docs)
-    assert one.columns == docs.columns
-    assert [k for k in keys(one.collect()) if k in (1, 2, 3, 4, 5)] == [1, 3]
-
-
 def test_simhash_tiles(spark):
     draw = random.Random(0)
     base = draw.getrandbits(63)
@@ -422,3 +400,48 @@ def test_look_up_hot_keys(spark):
     table = spark.createDataFrame([(1, "hot"), (4, "cold")], "k bigint, v string")
     got = look_up(rows, table, "k").groupBy("v").count().collect()
     assert {r.v: r["count"] for r in got} == {"hot": 1667 + (1 if 5000 % 3 == 9 else 0), "cold": 1, None: 5000 - 1668}
+
+
+def test_quality_limits_follow_the_group(spark):
+    """Each rule rejects a document that passes the base rules, and two groups get different limits."""
+    rows = []
+
+    def add(group, text):
+        rows.append((len(rows), text, "en", group))
+
+    for i in range(420):
+        add("plain", prose(1000 + i, 60))
+        add("code", " ".join(w + (" #" if j % (2 + i % 3) == 0 else "") for j, w in enumerate(prose(3000 + i, 60).split())))
+    odd = {
+        "n_symbols": prose(5000, 60).replace(" ", " # ", 25),
+        "n_dup_lines": "\n".join(["one two", prose(5001, 60), *["one two"] * 8]),
+        "n_repeat_words": prose(5002, 60) + " " + " ".join([prose(5003, 9)] * 2),
+        "word_chars": " ".join(w * 6 for w in prose(5004, 60).split()),
+    }
+    first = len(rows)
+    for text in odd.values():
+        add("plain", text)
+    add("code", odd["n_symbols"])  # usual there
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality.quality_rules(docs).collect()}
+    for i, figure in enumerate(odd):
+        assert not got[first + i].base_failed and not got[first + i].kept, figure
+    assert got[first + 4].kept and sum(not r.kept for r in got.values()) <= 10
+    limits = quality.thresholds(quality.measured(docs, "doc_id", "text", "lang", "source")).collect()
+    assert len({r.most_symbols_permille for r in limits}) == 2
+
+
+@pytest.mark.parametrize("share", [0.9, 0.0])
+def test_look_up_leaves_null_keys_where_they_are(spark, share):
+    """Most keys null, one key hot: the join's rows are those of a plain join, and no partition takes the nulls in."""
+    from panelmill.llm.skew import look_up
+
+    rows = spark.range(0, 20_000, numPartitions=8).select(
+        "id", F.when(F.col("id") % 100 >= share * 100, F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id"))).alias("k"))
+    table = spark.range(0, 20_000, 2).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    got = look_up(rows, table, "k")
+    want = rows.join(table, "k", "left")
+    assert sorted(got.columns) == ["id", "k", "v"]
+    assert got.select("id", "k", "v").exceptAll(want.select("id", "k", "v")).isEmpty() and got.count() == 20_000
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert share == 0.0 or max(sizes) <= 20_000 / 7

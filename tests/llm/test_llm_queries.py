@@ -150,7 +150,9 @@ def test_pipeline_stage_by_stage(spark, small):
     import corpus_pipeline
     from compare import sql_rows
 
-    from panelmill.llm.paragraphs import passages, shingles
+    from test_llm_runs import covered
+
+    from panelmill.llm.paragraphs import cut_out, passages, shingles
     from panelmill.llm.simhash import fingerprint
 
     documents, labels = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "labels"))
@@ -175,9 +177,11 @@ def test_pipeline_stage_by_stage(spark, small):
     found = [(k, n, shingles(w, 5)) for k in sorted(texts[2]) for n, w in passages(texts[2][k], 50)]
     groups = _groups(len(found), lambda i, j: len(found[i][2] & found[j][2]) >= 0.8 * len(found[i][2] | found[j][2]))
     gone = {found[i][:2] for i, g in enumerate(groups) if g != i}
+    runs = covered(sorted(texts[2].items()))
     want = {}
     for k, text in texts[2].items():
-        left = "\n".join(x for n, x in enumerate(text.split("\n")) if (k, n) not in gone)
+        lines = [n for key, n in gone if key == k]
+        left = cut_out(text, lines, runs.get(k, [])) if lines or k in runs else text
         if left.strip() or left == text:
             want[k] = left
     assert texts[3] == want
