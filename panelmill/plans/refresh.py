@@ -96,8 +96,8 @@ def _finish(spark, root, outcomes, counts=None, mark=None, whole=True) -> DataFr
     built = [o for o in outcomes if "error" not in o]
     new = {o["name"]: o["months"] for o in built} | (counts or {})
     if new:
-        marks = dict.fromkeys(new, mark) if mark is not None else {}
-        snapshots.commit(spark, root, new, list(new) if whole else (), marks)
+        # tables built from a frame have no mark: an incremental refresh builds them in full
+        snapshots.commit(spark, root, new, list(new) if whole else (), dict.fromkeys(new, mark))
     for o in built:
         if whole or not spark.catalog.tableExists(o["name"]):
             snapshots.show_under_name(spark, root, o["name"], o["dtypes"], o["by_month"])

@@ -85,17 +85,17 @@ def load(spark: SparkSession, root: str, number: int | None = None) -> Snapshot:
 
 def commit(
     spark: SparkSession, root: str, changes: dict[str, dict[Month, str | None]], whole: Iterable[str] = (),
-    marks: dict[str, str] | None = None, keep: int = 2,
+    marks: dict[str, str | None] | None = None, keep: int = 2,
 ) -> Snapshot:
     """Make new versions of months current, all with one rename; returns the new snapshot.
 
     ``changes[name][(y, m)]`` is the new version of a month, or None where the
     month has no rows any more. Tables in ``whole`` keep none of their former
     months. Versions that the last ``keep`` commits do not name are deleted
-    afterwards. Of two commits at a time the later one fails.
+    afterwards. A mark of None takes a table's mark away. Of two commits at a time the later one fails.
     """
     new = load(spark, root).with_months(changes, whole)
-    new.marks.update(marks or {})
+    new.marks = {name: batch for name, batch in (new.marks | (marks or {})).items() if batch is not None}
     line = lambda **row: json.dumps({"commit": new.number, "mark": None, "view": None, "y": 0, "m": 0} | row)
     lines = [
         line(view=name, y=y, m=m, version=version)
