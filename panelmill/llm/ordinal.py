@@ -11,10 +11,9 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from panelmill.llm.batches import slices
-from panelmill.llm.shared import map_batches, stored
+from panelmill.llm.shared import map_batches, ship_code, stored
 
 #: Buckets that features are hashed into.
 DIMENSIONS = 1 << 20
@@ -26,6 +25,8 @@ LEAST_SEEN = 5
 LEAST_STRANGE = 20.0
 #: A word also counts by its first letters, so that inflected forms share a weight.
 BEGINNINGS = (4, 5)
+#: Bytes of texts whose features are worked out at a time; a longer text is worked out alone.
+TEXT_BYTES = 1 << 20
 _EDGES = np.array([0.02, 0.05, 0.1, 0.2, 0.35, 0.5, 0.7, 0.9])
 _SHARES = ("distinct", "upper", "marked", "bare", "digits")
 
@@ -53,13 +54,26 @@ _SHARE_BUCKETS = {
 class Features:
     """Feature buckets of texts: the distinct words, and steps of five shares of the words.
 
-    A word's traits are worked out once for each distinct word of a block, and
-    kept for frequent ones as long as the worker lives.
+    A word's traits are worked out once and kept as a row of a numeric table while
+    there is room; a full table is emptied. So a worker's memory has a bound, however many words there are.
     """
 
-    def __init__(self, most_kept: int = 300_000):
-        self.known: dict[str, tuple] = {}
-        self.most_kept = most_kept
+    def __init__(self, most_kept: int = 100_000):
+        self.place: dict[str, int] = {}
+        self.table = np.zeros((most_kept, 1 + len(BEGINNINGS) + len(_SHARES) - 1), np.int32)
+
+    def _traits(self, tokens: list[str]) -> np.ndarray:
+        new = [t for t in tokens if t not in self.place]
+        if len(self.place) + len(new) > len(self.table):
+            self.place.clear()
+            new = tokens
+            if len(new) > len(self.table):  # one text may hold more words than the table
+                return np.array([_traits(t) for t in new], np.int32)
+        if new:
+            begin = len(self.place)
+            self.table[begin:begin + len(new)] = [_traits(t) for t in new]
+            self.place.update(zip(new, range(begin, begin + len(new)), strict=True))
+        return self.table[np.fromiter(map(self.place.__getitem__, tokens), np.int64, len(tokens))]
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(text number, bucket) pairs, each once, by text."""
@@ -67,37 +81,28 @@ class Features:
         words = pc.ascii_split_whitespace(texts)
         lengths = pc.list_value_length(words).to_numpy(zero_copy_only=False)
         coded = words.flatten().dictionary_encode()
-        tokens = coded.dictionary.to_numpy(zero_copy_only=False)
-        if len(self.known) + len(tokens) > self.most_kept:
-            self.known.clear()
-        for t in tokens:
-            if t not in self.known:
-                self.known[t] = _traits(t)
-        traits = [self.known[t] for t in tokens]
+        tokens = coded.dictionary.to_pylist()
+        n, wide = len(texts), np.int64(len(tokens) or 1)
+        forms = 1 + len(BEGINNINGS)
+        traits = self._traits(tokens) if tokens else np.zeros((0, self.table.shape[1]), np.int32)
         token = coded.indices.to_numpy(zero_copy_only=False)
-        doc = np.repeat(np.arange(len(texts)), lengths)
-        if len(tokens):  # ascii_split_whitespace gives empty tokens at the ends of a text
-            full = np.array([t != "" for t in tokens])[token]
+        doc = np.repeat(np.arange(n), lengths)
+        if "" in tokens:  # ascii_split_whitespace gives empty tokens at the ends of a text
+            full = token != tokens.index("")
             doc, token = doc[full], token[full]
-        forms = 1 + len(BEGINNINGS)
-        buckets = np.array([t[:forms] for t in traits], np.int64).reshape(-1, forms)
-        pairs = np.unique(doc * np.int64(len(tokens) or 1) + token)
-        pair_doc, pair_token = np.divmod(pairs, np.int64(len(tokens) or 1))
-        count = np.bincount(doc, minlength=len(texts))
-        some = np.maximum(count, 1)
-        shares = [np.bincount(pair_doc, minlength=len(texts)) / some]
-        for i in range(1, len(_SHARES)):
-            flag = np.array([t[forms - 1 + i] for t in traits], np.float64)
-            shares.append(np.bincount(doc, weights=flag[token], minlength=len(texts)) / some if len(tokens) else shares[0] * 0)
+        pair_doc, pair_token = np.divmod(np.unique(doc * wide + token), wide)
+        some = np.maximum(np.bincount(doc, minlength=n), 1)
+        shares = [np.bincount(pair_doc, minlength=n) / some]
+        for flag in traits[:, forms:].T:
+            shares.append(np.bincount(doc, weights=flag[token], minlength=n) / some)
         found = []
-        for form in buckets.T:
-            has = form[pair_token] >= 0
-            found.append((pair_doc * DIMENSIONS + form[pair_token])[has])
+        for form in traits[:, :forms].T:
+            bucket = form[pair_token]
+            found.append((pair_doc * DIMENSIONS + bucket)[bucket >= 0])
         for name, share in zip(_SHARES, shares, strict=True):
-            step = np.searchsorted(_EDGES, share, "right")
             which = np.array([_SHARE_BUCKETS[name, s] for s in range(len(_EDGES) + 1)], np.int64)
-            found.append(np.arange(len(texts)) * DIMENSIONS + which[step])
-        every = np.unique(np.concatenate(found)) if len(texts) else np.zeros(0, np.int64)
+            found.append(np.arange(n) * DIMENSIONS + which[np.searchsorted(_EDGES, share, "right")])
+        every = np.unique(np.concatenate(found))
         return every // DIMENSIONS, every % DIMENSIONS
 
 
@@ -123,29 +128,15 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def fit_ordinal(
     doc: np.ndarray, bucket: np.ndarray, grade: np.ndarray, grades: int,
-    rounds: int = 250, rate: float = 0.08, decay: float = 2e-4, least_seen: int = LEAST_SEEN,
+    rounds: int = 250, rate: float = 0.08, decay: float = 2e-4,
 ) -> OrdinalModel:
-    """Maximum likelihood of P(grade > j) = sigmoid(score - threshold j), by Adam on all rows.
+    """Maximum likelihood of P(grade > j) = sigmoid(score - threshold j), by Adam on all rows and all buckets given.
 
     The thresholds are a first one and positive steps, so they stay in order.
     Classes are weighted towards each other by the square root of their sizes.
     """
-    counts = np.zeros((grades, DIMENSIONS))
-    for begin in range(0, len(bucket), 1 << 20):  # in pieces, as wide copies of all pairs would fill the driver
-        part = slice(begin, begin + (1 << 20))
-        of = grade[doc[part]]
-        for g in range(grades):
-            counts[g] += np.bincount(bucket[part][of == g], minlength=DIMENSIONS)
-    seen = counts.sum(axis=0)
-    share = np.bincount(grade, minlength=grades) / max(1, len(grade))
-    strange = np.zeros(DIMENSIONS)  # chi-square of the grades of a feature's texts
-    for g in np.flatnonzero(share):
-        strange += (counts[g] - seen * share[g]) ** 2 / np.maximum(seen * share[g], 1e-12)
-    buckets = np.flatnonzero((seen >= least_seen) & (strange >= LEAST_STRANGE))
-    number = np.full(DIMENSIONS, -1, np.int32)
-    number[buckets] = np.arange(len(buckets))
-    at = number[bucket]
-    doc, at, n = doc[at >= 0], at[at >= 0], len(grade)
+    buckets, at = np.unique(bucket, return_inverse=True)
+    n = len(grade)
     size = np.bincount(grade, minlength=grades)
     weight = (1 / np.sqrt(np.maximum(size, 1)))[grade]
     weight = weight * n / max(weight.sum(), 1e-12)
@@ -206,19 +197,20 @@ def train(
 ) -> OrdinalModel:
     """Fit on at most ``fit_rows`` labelled documents, those with the smallest hashes of their keys.
 
-    The chosen keys and grades are broadcast (bounded by ``fit_rows``), tasks
-    work out the features and count them by grade, and only features that tell
-    grades apart come to the driver, which fits their weights.
+    Of several rows with one key the smallest text counts, nulls last. The
+    chosen keys and grades are broadcast (bounded by ``fit_rows``), tasks work
+    out the features and count them by grade, and only features that tell grades
+    apart come to the driver, which fits their weights.
     """
     rated = labels.select(labels[key].alias("key"), grade(labels["quality"], labels["toxic"]).alias("grade"))
     rated = rated.where("key IS NOT NULL AND grade IS NOT NULL").groupBy("key").agg(F.min("grade").alias("grade"))
     chosen = rated.orderBy(F.xxhash64("key"), "key").limit(fit_rows)
     rows = docs.select(docs[key].alias("key"), docs[text].cast("string").alias("text"))
-    rows = rows.join(F.broadcast(chosen), "key").select("grade", "text")
+    rows = rows.join(F.broadcast(chosen), "key").groupBy("key", "grade").agg(F.min("text").alias("text")).select("grade", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", TEXT_BYTES):
             doc, bucket = features.of(part.column("text"))
             ends = np.searchsorted(doc, np.arange(len(part) + 1))
             yield pa.RecordBatch.from_arrays(
@@ -239,31 +231,38 @@ def train(
             few = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat[stays]))
             yield pa.RecordBatch.from_arrays([batch.column("grade"), few], names=["grade", "buckets"])
 
-    got = map_batches(rows, only_known, "grade int, buckets array<int>").limit(2 * fit_rows).toArrow()
+    got = map_batches(rows, only_known, "grade int, buckets array<int>").toArrow()
     lists = got.column("buckets").combine_chunks()
     doc = np.repeat(np.arange(len(got), dtype=np.int32), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
     return fit_ordinal(doc, lists.flatten().to_numpy(), got.column("grade").to_numpy().astype(np.int64), GRADES)
 
 
+def _verdict(model: OrdinalModel, keep: float):
+    """A function of texts: only they go to the workers and only figures come back, the rows stay in Spark."""
+
+    @F.arrow_udf("expected_grade double, tail_probability double, kept boolean")
+    def verdict(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        features = Features()
+        for batch in texts:
+            parts = [np.zeros((0, len(model.thresholds)))]
+            for part in slices([pa.RecordBatch.from_arrays([batch], ["text"])], "text", TEXT_BYTES):
+                doc, bucket = features.of(part.column("text"))
+                parts.append(model.tails(doc, bucket, len(part)))
+            tails = np.concatenate(parts)
+            figures = [tails.sum(axis=1), tails[:, -1], tails[:, -1] >= keep]
+            yield pa.StructArray.from_arrays([pa.array(x) for x in figures], ["expected_grade", "tail_probability", "kept"])
+
+    return verdict
+
+
 def score(
     docs: DataFrame, model: OrdinalModel, text: str = "text", keep: float = 0.5, columns: list[str] | None = None
 ) -> DataFrame:
     """The ``columns`` of docs (all by default) as a struct ``row``, with expected_grade, tail_probability (of the best grade) and kept."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features()
-        for part in slices(batches, "text"):
-            doc, bucket = features.of(part.column("text"))
-            tails = model.tails(doc, bucket, len(part))
-            rest = part.drop_columns(["text"])
-            rest = rest.append_column("expected_grade", pa.array(tails.sum(axis=1)))
-            rest = rest.append_column("tail_probability", pa.array(tails[:, -1]))
-            yield rest.append_column("kept", pa.array(tails[:, -1] >= keep))
-
-    rows = docs.select(docs[text].cast("string").alias("text"), F.struct(*[docs[c] for c in columns or docs.columns]).alias("row"))
-    schema = T.StructType([rows.schema["row"]])
-    schema = schema.add("expected_grade", "double").add("tail_probability", "double").add("kept", "boolean")
-    return map_batches(rows, run, schema)
+    ship_code(docs.sparkSession)
+    row = F.struct(*[docs[c] for c in columns or docs.columns]).alias("row")
+    return docs.select(row, _verdict(model, keep)(docs[text].cast("string")).alias("found")).select("row", "found.*")
 
 
 def classify(
@@ -274,9 +273,9 @@ def classify(
     The model is fitted by ``train``; a document is kept if grade 2 has at least
     probability ``keep``. Null and empty texts have no words and are scored by
     their shares alone. Repeated rows and null keys are scored each. Labels with
-    a null key or quality are not used, and of several for one key the lowest
-    grade counts. Without any label all documents get the same score. Other
-    columns are not read. An empty table gives no rows. Scoring is one pass
+    a null key or quality are not used; of several for one key the lowest
+    grade counts, and of several documents with it the smallest text. Without
+    any label all documents get the same score. Other columns are not read. An empty table gives no rows. Scoring is one pass
     without a shuffle.
     """
     model = train(docs, labels, fit_rows, key, text)
@@ -288,5 +287,6 @@ def keep_best(
     docs: DataFrame, rated: DataFrame, labels: DataFrame, keep: float = 0.5, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """The rows of ``docs``, with all their columns, that a model fitted on ``rated`` and ``labels`` keeps."""
-    scored = score(docs, train(rated, labels, key=key, text=text), text, keep).where("kept")
-    return scored.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    model = train(rated, labels, key=key, text=text)
+    ship_code(docs.sparkSession)
+    return docs.where(_verdict(model, keep)(docs[text].cast("string"))["kept"])
