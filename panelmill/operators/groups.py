@@ -4,8 +4,9 @@ A (group, date) holds every entity of that group, which may be a large part of
 the table. There is one lazy plan, without a job before the action and without
 a setting by the caller. Groups are counted with map-side combine; those with more than
 one in ``slots`` of all rows are large, so there are fewer large groups than
-slots, and their names are broadcast. The values of large groups are cut at their common quantiles,
-which come from a mergeable sketch. The rows of a large group between two cuts are ranked on
+slots, and their names are broadcast. Small groups are ranked by plain windows, all ranks and totals in one
+exchange; where no group is large, nothing else is shuffled but the counts. The values of large groups are cut at
+their common quantiles, which come from a mergeable sketch. The rows of a large group between two cuts are ranked on
 their own, and the number of its rows above the slot is added: counted exactly, so the ranks are
 exact for any cuts. Rows on a cut that is the value of very many rows tie, and
 are spread over as many pieces as the cut fills slots. So no task gets a group, or a tie, for itself.
@@ -50,8 +51,11 @@ def with_group_standing(
         if input_bytes(df) <= TASK_BYTES:
             return _by_window(df, keys, ranks, totals)
         slots = _slots(df)
-    placed = _placed(df, keys, identity, ranks, sized_by, slots)
-    return _ranked(placed, ranks, totals).select(*df.columns, *ranks, *totals)
+    out = [*df.columns, *ranks, *totals]
+    big = _large_groups(df if sized_by is None else sized_by, keys, slots)
+    small = _met(df, keys, big, "left_anti")
+    large = _ranked(_placed(df, keys, identity, ranks, sized_by, slots), ranks, totals)
+    return large.select(*out).union(_by_window(small, keys, ranks, totals).select(*out))
 
 
 def input_bytes(df: DataFrame) -> int:
@@ -74,39 +78,55 @@ def _by_window(df, keys, ranks, totals) -> DataFrame:
     return df.withColumns(columns)
 
 
-def _placed(df, keys, identity, ranks, sized_by, slots) -> DataFrame:
-    """The rows with their group ``_g``, and ``_slot_i`` and ``_piece_i`` for each rank; ``_big`` is null in small groups.
+def _large_groups(sized_by: DataFrame, keys, slots) -> DataFrame:
+    """``_big``, the keys of each group with more than one in ``slots`` of all rows: fewer than ``slots`` rows.
 
-    ``_g`` is a struct, which is never null and equal where all keys are equal or
-    null. Slots count from the greatest values on. Small groups are one piece.
+    A struct is never null, and equal where all keys are equal or null.
     """
-    sizes = (df if sized_by is None else sized_by).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = sized_by.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     rows = sizes.agg(F.sum("_n").alias("_rows")).scalar()
-    big = sizes.where(F.col("_n") * slots > rows).select(F.struct(*keys).alias("_big"))
+    return sizes.where(F.col("_n") * slots > rows).select(F.struct(*keys).alias("_big"))
+
+
+def _met(df, keys, big: DataFrame, how: str) -> DataFrame:
+    """The rows of large groups (``left_semi``) or of the others (``left_anti``), with their group ``_g``."""
+    return df.withColumn("_g", F.struct(*keys)).join(F.broadcast(big), F.col("_g") == F.col("_big"), how)
+
+
+def _if_any(df, identity, big: DataFrame) -> DataFrame:
+    """The rows, or none if no group is large.
+
+    The filter names the identity, so that it moves below windows and aggregates along it, to what they read.
+    """
+    found = df.sparkSession.range(1).join(F.broadcast(big), how="left_semi").agg(F.count(F.lit(1))).scalar()
+    return df.where(F.pmod(F.xxhash64(*identity), F.lit(1)) < found)
+
+
+def _placed(df, keys, identity, ranks, sized_by, slots) -> DataFrame:
+    """The rows of large groups with their group ``_g``, and ``_slot_i`` and ``_piece_i`` for each rank.
+
+    Slots count from the greatest values on. Without a large group nothing is shuffled for these rows.
+    """
+    big = _large_groups(df if sized_by is None else sized_by, keys, slots)
     spread = F.xxhash64(*identity)
-    df = df.withColumn("_g", F.struct(*keys))
-    df = df.join(F.broadcast(big), F.col("_g") == F.col("_big"), "left")  # fewer than ``slots`` rows
+    df = _met(_if_any(df, identity, big), keys, big, "left_semi")
     if not ranks:
-        piece = F.when(F.col("_big").isNotNull(), F.pmod(spread, F.lit(slots))).otherwise(0)
-        return df.withColumns({"_slot_0": F.lit(0), "_piece_0": piece.cast("bigint")})
-    # one row with the cuts of all ranks meets the rows of large groups
-    cuts = _cuts(df.where(F.col("_big").isNotNull()), ranks, slots)
-    df = df.withColumn("_is_big", F.col("_big").isNotNull()).join(F.broadcast(cuts), F.col("_is_big") == F.col("_cut"), "left")
+        return df.withColumns({"_slot_0": F.lit(0), "_piece_0": F.pmod(spread, F.lit(slots)).cast("bigint")})
+    df = df.crossJoin(F.broadcast(_cuts(df, ranks, slots)))  # one row with the cuts of all ranks
     for i, col in enumerate(ranks.values()):
         cuts, value = F.col(f"_cuts_{i}"), F.col(col)
-        df = df.withColumn("_below", F.when(F.col("_is_big"), _below(cuts["at"], value, slots)))
+        df = df.withColumn("_below", _below(cuts["at"], value, slots))
         on_cut = F.coalesce(F.get(cuts["at"], F.col("_below")) == value, F.lit(False))
         slot = F.when(value.isNull(), 1).otherwise(-(2 * F.col("_below") + on_cut.cast("int")))
         parts = F.when(value.isNull(), cuts["nulls"]).when(on_cut, F.get(cuts["times"], F.col("_below"))).otherwise(1)
         df = df.withColumns({
-            f"_slot_{i}": F.when(F.col("_is_big"), slot).otherwise(0),
-            f"_piece_{i}": F.when(F.col("_is_big"), F.pmod(spread, parts.cast("bigint"))).otherwise(0),
+            f"_slot_{i}": slot, f"_piece_{i}": F.pmod(spread, parts.cast("bigint")),
         }).drop("_below", f"_cuts_{i}")
-    return df.drop("_is_big", "_cut")
+    return df
 
 
 def _cuts(large: DataFrame, ranks: dict[str, str], slots: int) -> DataFrame:
-    """One row: ``_cut`` is true, and for each rank the quantiles ``at``, sorted, how many slots each fills, and how many nulls would."""
+    """One row: for each rank the quantiles ``at``, sorted, how many slots each fills, and how many nulls would."""
     shares = F.array(*[F.lit(k / slots) for k in range(1, slots)])
     found = large.agg(F.count(F.lit(1)).alias("rows"), *[
         x for i, col in enumerate(ranks.values())
@@ -119,7 +139,7 @@ def _cuts(large: DataFrame, ranks: dict[str, str], slots: int) -> DataFrame:
         times = _frequencies(at, raw)
         nulls = F.ceil((F.col("rows") - F.col(f"n_{i}")) * slots / F.greatest("rows", F.lit(1))) + 1
         out.append(F.struct(at.alias("at"), times.alias("times"), nulls.alias("nulls")).alias(f"_cuts_{i}"))
-    return found.select(F.lit(True).alias("_cut"), *out)
+    return found.select(*out)
 
 
 def _frequencies(values: Column, among: Column) -> Column:
@@ -135,18 +155,12 @@ def _below(cuts: Column, value: Column, slots: int) -> Column:
 
 
 def _ranked(placed: DataFrame, ranks, totals) -> DataFrame:
-    """Ranks within pieces plus the rows above them; for large groups both come by the piece, without another exchange."""
+    """Ranks within pieces plus the rows above them; totals and counts come by the piece, without another exchange."""
     out = placed
     for i, (name, col) in enumerate(list(ranks.items()) or [(None, None)]):
         piece = ["_g", f"_slot_{i}", f"_piece_{i}"]
-        local = Window.partitionBy(*piece)
-        here = {"_local": F.rank().over(local.orderBy(F.desc_nulls_last(col)))} if name else {}
         sums = totals if i == 0 else {}
-        here |= {f"_{out}": F.sum(c).over(local) for out, c in sums.items()}
-        counts = (
-            placed.where(F.col("_big").isNotNull()).groupBy(*piece)
-            .agg(F.count(F.lit(1)).alias("_count"), *[F.sum(c).alias(t) for t, c in sums.items()])
-        )
+        counts = placed.groupBy(*piece).agg(F.count(F.lit(1)).alias("_count"), *[F.sum(c).alias(t) for t, c in sums.items()])
         # a group has at most a few times ``slots`` pieces
         group = Window.partitionBy("_g")
         above = group.orderBy(piece[1]).rangeBetween(Window.unboundedPreceding, -1)
@@ -154,9 +168,11 @@ def _ranked(placed: DataFrame, ranks, totals) -> DataFrame:
             *piece, F.coalesce(F.sum("_count").over(above), F.lit(0)).alias("_above"),
             *[F.sum(t).over(group).alias(t) for t in sums],
         )
-        out = out.withColumns(here).join(counts, piece, "left")
         if name:
-            out = out.withColumn(name, (F.coalesce("_above", F.lit(0)) + F.col("_local")).cast("bigint")).drop("_local")
-        whole = {t: F.when(F.col("_big").isNull(), F.col(f"_{t}")).otherwise(F.col(t)) for t in sums}
-        out = out.withColumns(whole).drop("_above", *[f"_{t}" for t in sums])
+            local = Window.partitionBy(*piece).orderBy(F.desc_nulls_last(col))
+            out = out.withColumn("_local", F.rank().over(local))
+        out = out.join(counts, piece, "left")
+        if name:
+            out = out.withColumn(name, (F.col("_above") + F.col("_local")).cast("bigint")).drop("_local")
+        out = out.drop("_above")
     return out

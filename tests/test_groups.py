@@ -117,3 +117,32 @@ def test_one_exchange_for_each_rank(spark):
         last = depth(line)
         main.append(line)
     assert sum("Exchange hashpartitioning" in x for x in main) == 2, plan
+
+
+def test_nothing_is_shuffled_for_large_groups_that_do_not_exist(spark, tmp_path):
+    """One branch holds the small groups; in all others a filter lies below the window along a series."""
+    path = str(tmp_path / "rows")
+    spark.range(3000).select(
+        (F.col("id") % 30).alias("e"), (F.col("id") % 100).cast("string").alias("g"),
+        F.floor(F.col("id") / 30).alias("d"), F.sin("id").alias("v"), F.col("id").alias("n"),
+    ).write.parquet(path)
+    rows = spark.read.parquet(path)
+    df = rows.withColumn("u", F.col("v") - F.coalesce(F.lag("v").over(Window.partitionBy("e").orderBy("d")), F.lit(0.0)))
+    got = with_group_standing(df, ["g"], ["e"], {"rv": "u", "rn": "n"}, {"total": "n"}, sized_by=rows, slots=20)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    lines = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    free = guarded = 0
+    for i, line in enumerate(lines):
+        if "Window [lag(" in line:
+            below = []
+            for x in lines[i + 1:]:
+                if depth(x) <= depth(line):
+                    break
+                below.append(x)
+            if any("Filter" in x and "pmod(xxhash64(" in x for x in below):
+                guarded += 1
+            else:
+                free += 1
+    assert (free, guarded > 0) == (1, True)
+    want = expected(df.withColumn("x", F.col("v")).withColumn("v", F.col("u"))).withColumn("v", F.col("x")).drop("x")
+    assert got.exceptAll(want).isEmpty() and got.count() == 3000
