@@ -105,6 +105,9 @@ def with_stitched_frames(
         f"_mean{long}": F.col("_base") + F.col("_shift"),
         f"_peak{long}": F.greatest(*[p[peak] for p in each]),
     })
+    # Columns of a window are computed once: a filter on them does not repeat what they are made of.
+    here = window.rowsBetween(Window.currentRow, Window.currentRow)
+    df = df.withColumns({c: F.first(c).over(here) for c in (f"_{x}{long}" for x in ("count", "sd", "mean", "peak"))})
     return df.drop("_n", "_base", "_shift", *[f"_part{k}" for k in range(parts)])
 
 

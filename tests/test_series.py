@@ -49,3 +49,14 @@ def test_finer_times_are_refused(spark):
     df = series(spark).withColumn("date", F.col("date").cast("timestamp"))
     with pytest.raises(TypeError, match="must be a date"):
         with_previous(df, "p", "close")
+
+
+def test_a_filter_on_a_long_frame_does_not_repeat_its_making(spark):
+    """The condition on the class names the long deviation, not the formula that puts it together from short frames."""
+    from panelmill.plans.lookups import of_risk
+    from panelmill.plans.volatility import volatility_analysis
+
+    bars = series(spark).withColumn("sector", F.lit("S"))
+    plan = of_risk(volatility_analysis(bars), "High Risk")._jdf.queryExecution().optimizedPlan().toString()
+    conditions = [line for line in plan.splitlines() if "Filter" in line]
+    assert conditions and all("sqrt" not in line.lower() and "_part" not in line for line in conditions), plan
