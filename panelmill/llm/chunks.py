@@ -21,9 +21,11 @@ Where the cuts lie:
 
 from __future__ import annotations
 
+import gc
 import os
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from itertools import accumulate, chain, pairwise
 
 import numpy as np
@@ -43,6 +45,18 @@ _SUFFIX = ",.!?;:*#%&$|"
 _IDS = "<u4"
 
 
+@contextmanager
+def _without_collection() -> Iterator[None]:
+    """A block makes a million strings and lists without a cycle: looking for cycles among them only costs time."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 class ChunkCoder:
     """Ids of whole texts by one vocabulary file, as the library gives them.
 
@@ -172,7 +186,8 @@ class ChunkCoder:
         ids, counts, begin = [], [], 0
         for end in [*(np.flatnonzero(np.diff(np.cumsum(size) // BLOCK_BYTES)) + 1), len(texts)]:
             if end > begin:
-                some, n = self._block(texts.slice(begin, end - begin))
+                with _without_collection():
+                    some, n = self._block(texts.slice(begin, end - begin))
                 ids.append(some)
                 counts.append(n)
             begin = end

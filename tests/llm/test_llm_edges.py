@@ -445,3 +445,22 @@ def test_look_up_leaves_null_keys_where_they_are(spark, share):
     assert got.select("id", "k", "v").exceptAll(want.select("id", "k", "v")).isEmpty() and got.count() == 20_000
     sizes = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("p")).count().collect()]
     assert share == 0.0 or max(sizes) <= 20_000 / 7
+
+
+def test_no_collection_while_a_block_is_coded(monkeypatch):
+    """The collector rests during a block and runs again after it, also after a failure."""
+    import gc
+
+    import pyarrow as pa
+
+    from panelmill.llm import chunks
+
+    code, seen = chunks.ChunkCoder("word", WORD), []
+    block = code._block
+    monkeypatch.setattr(code, "_block", lambda texts: (seen.append(gc.isenabled()), block(texts))[1])
+    ids, begins = code.encode(pa.array(["one two", None, "three"]))
+    assert seen == [False] and gc.isenabled() and begins.tolist()[-1] == len(ids)
+    monkeypatch.setattr(code, "_block", lambda texts: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        code.encode(pa.array(["one"]))
+    assert gc.isenabled()
