@@ -19,57 +19,42 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelmill.llm.batches import slices
-from panelmill.llm.chunks import ChunkCoder
+from panelmill.llm.chunks import ChunkCoder, merged, spaced
 from panelmill.llm.shared import map_batches, stored
 
 #: Bytes of text that are aligned at a time (or one longer text).
 BLOCK_BYTES = 1 << 20
-#: Chunks that the byte-level library encodes at a time, and chunks of a table that are kept for the next block.
-AT_ONCE = 4096
+#: Chunks of a table that are kept for the next block.
 KEPT = 200_000
 _START = "\x02"
 _MARKER = "▁"
 
 
-def _spaced(texts: pa.Array) -> pa.Array:
-    """A space before each text."""
-    return pc.binary_join_element_wise(pa.scalar("", texts.type), texts, pa.scalar(" ", texts.type))
-
-
 class SpacedBytes(ChunkCoder):
     """Ids of a space and the text by a byte-level vocabulary; special strings in texts are plain text."""
 
     def __init__(self, path: str):
-        super().__init__("byte", path)
+        super().__init__("byte", path, KEPT)
         self.model.encode_special_tokens = True
         self.uneven = f"{self.whole}|{self.runs}"
         self.spaced = False
 
-    def _as_chunks(self, pieces: np.ndarray) -> list[str]:
+    def _as_chunks(self, pieces: pa.Array) -> pa.Array:
         """The first chunk of a text whose words stand one space apart gets its space here."""
         if not self.spaced:
             return super()._as_chunks(pieces)
-        return [p if p[:1] == "\n" else " " + p[1:] if p[:1] == _START else " " + p for p in pieces]
-
-    def library(self, texts: list[str]) -> list[bytes]:
-        """A few at a time: the library's own objects take much more room than the ids."""
-        return [ids for i in range(0, len(texts), AT_ONCE) for ids in super(SpacedBytes, self).library(texts[i:i + AT_ONCE])]
+        return pc.replace_substring(pc.replace_substring(spaced(pieces), " \n", "\n"), _START, "")
 
     def encode_spaced(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         uneven = pc.match_substring_regex(texts, self.uneven)
         self.spaced = True
         even = self.encode(texts.filter(pc.invert(uneven)))
         self.spaced = False
-        other = self.encode(_spaced(texts.filter(uneven)))
+        other = self.encode(spaced(texts.filter(uneven)))
         if not len(other[1]) > 1:
             return even
-        where = uneven.to_numpy(zero_copy_only=False)
-        counts, source = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
-        for at, (ids, begins), base in ((~where, even, 0), (where, other, len(even[0]))):
-            counts[at], source[at] = np.diff(begins), begins[:-1] + base
-        begins = np.concatenate([np.zeros(1, np.int64), np.cumsum(counts)])
-        places = np.arange(begins[-1]) + np.repeat(source - begins[:-1], counts)
-        return np.concatenate([even[0], other[0]])[places], begins
+        ids, counts = merged(uneven.to_numpy(zero_copy_only=False), *((ids, np.diff(begins)) for ids, begins in (even, other)))
+        return ids, np.concatenate([np.zeros(1, np.int64), np.cumsum(counts)])
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -114,7 +99,7 @@ class Aligner:
     """The worker's tokenizers and the bytes, lengths and decimal names of their ids."""
 
     def __init__(self, byte_path: str, piece_path: str):
-        self.coders = SpacedBytes(byte_path), ChunkCoder("piece", piece_path)
+        self.coders = SpacedBytes(byte_path), ChunkCoder("piece", piece_path, KEPT)
         self.encode = self.coders[0].encode_spaced, self.coders[1].encode
         tokens = byte_tokens(byte_path), piece_tokens(piece_path)
         self.bytes = [pa.array(t, pa.large_binary()) for t in tokens]
@@ -149,7 +134,7 @@ class Aligner:
 
     def align(self, texts: pa.Array) -> dict[str, pa.Array | np.ndarray]:
         """Columns for texts that are neither null nor empty."""
-        want = pc.cast(_spaced(texts), pa.large_binary())
+        want = pc.cast(spaced(texts), pa.large_binary())
         ids = self.tokens(texts)
         same = pc.and_(*[pc.equal(self.joined(x, side), want) for side, x in enumerate(ids)])
         at = np.flatnonzero(same.to_numpy(zero_copy_only=False))
@@ -177,10 +162,7 @@ class Aligner:
 
 
     def forget(self) -> None:
-        """Keep the worker small between two blocks: it holds the tables of two vocabularies."""
-        for code in self.coders:
-            if len(code.table) > KEPT:
-                code.table = {}
+        """Give back what Arrow holds in reserve between two blocks."""
         pa.default_memory_pool().release_unused()
 
 
