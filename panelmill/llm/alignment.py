@@ -24,6 +24,8 @@ from panelmill.llm.shared import map_batches, stored
 
 #: Bytes of text that are aligned at a time (or one longer text).
 BLOCK_BYTES = 1 << 20
+#: Links that are counted or looked up at a time (or those of one longer text).
+BLOCK_LINKS = 1 << 19
 #: Chunks of a table that are kept for the next block.
 KEPT = 200_000
 _START = "\x02"
@@ -215,8 +217,8 @@ def pair_counts(links: DataFrame, pieces: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = pa.table({"pair": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
-        for batch in batches:
-            flat = pa.table({"pair": pc.list_flatten(batch.column("links"))})
+        for part in slices(batches, "links", BLOCK_LINKS, pc.list_value_length):
+            flat = pa.table({"pair": pc.list_flatten(part.column("links"))})
             some = flat.group_by("pair", use_threads=False).aggregate([([], "count_all")]).rename_columns(["pair", "n"])
             both = pa.concat_tables([total, some.select(["pair", "n"])])
             total = both.group_by("pair", use_threads=False).aggregate([("n", "sum")]).rename_columns(["pair", "n"])
@@ -245,26 +247,22 @@ def alignment(
     """
     rows = stored(aligned(docs, byte_path, piece_path, key, text), "alignment")
     a, b = byte_tokens(byte_path), piece_tokens(piece_path)
-    table = pair_counts(rows, len(b)).toArrow()
+    table = pair_counts(rows, len(b)).toArrow().sort_by("pair")
     if table.num_rows > most_pairs(a, b):
         raise RuntimeError("more pairs than the vocabularies can link")
     counts = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = counts.value
-        for batch in batches:
-            links = batch.column("links")
-            flat = pa.table({"row": pc.list_parent_indices(links), "pair": pc.list_flatten(links)})
-            met = flat.join(known, "pair", join_type="inner", use_threads=False)
-            met = met.set_column(met.schema.get_field_index("best"), "best", pc.cast(met["best"], pa.int64()))
-            sums = met.group_by("row", use_threads=False).aggregate([("best", "sum"), ("n", "sum")])
-            n_best, total = (np.zeros(len(batch), np.int64) for _ in range(2))
-            row = sums["row"].to_numpy()
-            n_best[row], total[row] = sums["best_sum"].to_numpy(), sums["n_sum"].to_numpy()
+        known = {c: pc.cast(counts.value[c], pa.int64()).to_numpy() for c in ("pair", "best", "n")}
+        for part in slices(batches, "links", BLOCK_LINKS, pc.list_value_length):
+            links = part.column("links")
+            at = np.searchsorted(known["pair"], pc.list_flatten(links).to_numpy(zero_copy_only=False))
             n_links = pc.list_value_length(links).cast(pa.int64())
+            begins = np.concatenate([np.zeros(1, np.int64), np.cumsum(n_links.to_numpy(zero_copy_only=False))])
+            n_best, total = (np.diff(np.concatenate([np.zeros(1, np.int64), np.cumsum(known[c][at])])[begins]) for c in ("best", "n"))
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in ("key", "n_a", "n_b", "n_groups")], n_links, pa.array(n_best), pa.array(total),
-                 batch.column("groups_sha256")],
+                [*[part.column(c) for c in ("key", "n_a", "n_b", "n_groups")], n_links, pa.array(n_best), pa.array(total),
+                 part.column("groups_sha256")],
                 names=["key", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
             )
 

@@ -11,10 +11,12 @@ import pyarrow.compute as pc
 BLOCK_BYTES = 8 << 20
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that the texts of a slice have about ``limit`` bytes, or are one text."""
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BYTES, length=pc.binary_length
+) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that the texts of a slice have about ``limit`` bytes (its lists so many values), or are one text."""
     for batch in batches:
-        size = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+        size = pc.fill_null(length(batch.column(column)), 0)
         size = np.cumsum(size.to_numpy(zero_copy_only=False), dtype=np.int64)
         begin = 0
         for end in [*(np.flatnonzero(np.diff(size // limit)) + 1), len(batch)]:

@@ -1,14 +1,18 @@
-"""The coder's table of chunks: ids as the library gives them for whole texts, whatever was coded before."""
+"""The coder's table of chunks: ids as the library gives them for whole texts, whatever was coded before. Links of two coders in blocks."""
 
 from __future__ import annotations
 
 import random
+from collections import Counter
+from types import SimpleNamespace
+from unittest.mock import MagicMock
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
-from panelmill.llm import chunks
+from panelmill.llm import alignment, chunks
 from panelmill.llm.contract import BYTE, PIECE, WORD
 
 PARTS = [
@@ -58,3 +62,54 @@ def test_tokens_that_are_not_what_they_spell_are_encoded_one_by_one():
     ids, begins = code.encode(pa.array(texts))
     want, counts = code.library(texts)
     assert np.array_equal(ids, want) and np.diff(begins).tolist() == counts.tolist()
+
+
+class _Caught(Exception):
+    """Carries the function that would run in the tasks."""
+
+
+def _in_task(monkeypatch, call):
+    def catch(df, run, schema):
+        raise _Caught(run)
+
+    monkeypatch.setattr(alignment, "map_batches", catch)
+    with pytest.raises(_Caught) as caught:
+        call()
+    return caught.value.args[0]
+
+
+def _links(seen: list[int], monkeypatch) -> tuple[pa.RecordBatch, list[list[int]]]:
+    """A batch of many links, and a watch on how many are taken out of it at a time."""
+    flatten = pc.list_flatten
+    monkeypatch.setattr(alignment.pc, "list_flatten", lambda x: (seen.append(len(flat := flatten(x))), flat)[1])
+    monkeypatch.setattr(alignment, "BLOCK_LINKS", 64, raising=False)
+    draw = random.Random(3)
+    links = [[draw.randrange(40) for _ in range(draw.randrange(12))] for _ in range(500)]
+    zeros = pa.array([0] * 500, pa.int64())
+    names = ["key", "n_a", "n_b", "n_groups", "groups_sha256", "links"]
+    columns = [pa.array(range(500)), zeros, zeros, zeros, pa.array([""] * 500), pa.array(links, pa.list_(pa.int64()))]
+    return pa.RecordBatch.from_arrays(columns, names=names), links
+
+
+def test_pairs_are_counted_a_block_at_a_time(monkeypatch):
+    run, seen = _in_task(monkeypatch, lambda: alignment.pair_counts(MagicMock(), 10)), []
+    batch, links = _links(seen, monkeypatch)
+    got = {r["pair"]: r["n"] for b in run(iter([batch, batch])) for r in b.to_pylist()}
+    assert got == {p: 2 * n for p, n in Counter(p for x in links for p in x).items()}
+    assert max(seen) <= 64 + 12
+
+
+def test_counts_are_looked_up_a_block_at_a_time(monkeypatch):
+    known = pa.table({"pair": list(range(39, -1, -1)), "n": [p * 7 for p in range(39, -1, -1)], "best": [p % 3 == 0 for p in range(39, -1, -1)]})
+    docs, pairs = MagicMock(), MagicMock()
+    docs.sparkSession.sparkContext.broadcast = lambda table: SimpleNamespace(value=table)
+    pairs.toArrow.return_value = known
+    for name, made in (("aligned", MagicMock()), ("stored", MagicMock()), ("pair_counts", lambda *_: pairs), ("byte_tokens", lambda _: []), ("piece_tokens", lambda _: []), ("most_pairs", lambda *_: 40)):
+        monkeypatch.setattr(alignment, name, made)
+    run, seen = _in_task(monkeypatch, lambda: alignment.alignment(docs, "a", "b")), []
+    batch, links = _links(seen, monkeypatch)
+    got = [r for b in run(iter([batch, batch.slice(0, 0), batch])) for r in b.to_pylist()]
+    assert [(r["key"], r["n_links"], r["n_best"], r["count_sum"]) for r in got] == 2 * [
+        (i, len(x), sum(p % 3 == 0 for p in x), sum(7 * p for p in x)) for i, x in enumerate(links)
+    ]
+    assert max(seen) <= 64 + 12
